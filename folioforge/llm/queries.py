@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import exact_dedup, langid, mixing, neighbours, packing, quality, token_files
+from folioforge.llm import exact_dedup, jaccard_join, langid, mixing, neighbours, packing, quality, substring_dedup, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,8 +57,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_substrings": op3_substrings,
     "op5_quality": op5_quality,
     "op6_source_mix": op6_source_mix,
+    "op7_jaccard": op7_jaccard,
     "op8_packing": op8_packing,
     "op9_neighbours": op9_neighbours,
     "op10_language": op10_language,
@@ -85,4 +95,13 @@ SQL = {
         select doc_id, size, source_size, target,
                cast(size * count(*) filter (where run <= (select sum(size) from base)) as bigint) as taken
         from q group by all""".replace("group by all", "group by doc_id, source, size, source_size, target, k"),
+    "op3_substrings": r"""
+        with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+        win as (select doc_id, p, array_to_string(w[p:p + 49], ' ') as k from d, unnest(generate_series(1, len(w) - 49)) as t(p)),
+        least as (select k, min(doc_id) as m from win group by k),
+        gone as (select distinct doc_id, p + o as i from win join least using (k), range(50) as r(o) where doc_id > m),
+        words as (select doc_id, i, w[i] as word from d, unnest(generate_series(1, len(w))) as t(i)),
+        kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by i) as t from words anti join gone using (doc_id, i) group by doc_id)
+        select d.doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+        from d left join kept using (doc_id)""",
 }

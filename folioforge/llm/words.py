@@ -11,17 +11,21 @@ MEMO = 400_000
 
 
 class WordRows:
-    """rows(texts) -> (row of each word, words in each text); table[row] holds what make(words) gave for it."""
+    """rows(texts) -> (row of each word, words in each text); table[row] holds what make(words) gave for it.
 
-    def __init__(self, make: Callable[[list[str]], np.ndarray], width: int, dtype=np.float32):
+    Texts are split at white space; given as bytes, at space, tab, line feed, vertical tab, form feed and carriage
+    return alone.
+    """
+
+    def __init__(self, make: Callable[[list], np.ndarray], width: int, dtype=np.float32):
         self.make, self.width, self.dtype = make, width, dtype
         self._empty()
 
     def _empty(self) -> None:
-        self.seen: dict[str, int] = {}
+        self.seen: dict = {}
         self.table = np.zeros((1024, self.width), self.dtype)
 
-    def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def rows(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         if len(self.seen) > MEMO:
             self._empty()
         seen, known = self.seen, len(self.seen)
