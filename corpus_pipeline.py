@@ -1,13 +1,71 @@
-"""Corpus pipeline: stages over the documents table, each written as Parquet and read by the next."""
+"""Corpus pipeline: language ID, line dedup, near-duplicate removal, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes it as Parquet in the shared folder
+and rereads it as the next stage's docs. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioforge.llm import jaccard_join, langid, line_dedup, mixing, packing
+from folioforge.llm.queries import tokenizer_path
+from folioforge.llm.shared import checked, held_out, written
+
+
+def _where_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """docs whose id is (left_semi) or isn't (left_anti) among ids, which are broadcast only while few."""
+    ids = written(ids.select(F.col("doc_id").alias("_id")).distinct(), "ids")
+    return docs.join(checked(ids), F.col("doc_id") == F.col("_id"), how)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language models don't reject; a document with a null id goes with its text's verdict."""
+    model = langid.fit(docs.where(~held_out(F.col("doc_id"))))
+    rejected = langid.predict(docs, model).where("rejected").select("doc_id")
+    return _where_ids(docs, rejected, "left_anti")
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat an earlier one within the edit distance; n_chars follows the text."""
+    out = line_dedup.without_lines(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones: that with the smallest id."""
+    found = jaccard_join.jaccard_components(docs)
+    return _where_ids(docs, found.where("component_id < doc_id").select("doc_id"), "left_anti")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences; a document that the mix repeats is packed as often."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup_stage),
+    ("jaccard_join", jaccard_stage),
+    ("source_mix", mixing_stage),
+    ("packing", packing_stage),
+]
 
-STAGES: list = []
+#: Language models, banded edit joins and a tokenizer are beyond SQL; tests check the stages by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's pieces, from all documents of the folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

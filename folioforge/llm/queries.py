@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import exact_dedup, jaccard_join, langid, mixing, neighbours, packing, quality, substring_dedup, token_files
+from folioforge.llm import exact_dedup, jaccard_join, langid, line_dedup, mixing, neighbours, packing, quality, substring_dedup, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -54,10 +58,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+#: The tables' accented letters and single bytes that stand for them: DuckDB's levenshtein counts bytes.
+ACCENTED = "ÊÄñäÜèéÍÉßêçíÇÈÑöüÖóÓáÁúÚ"
+PLAIN = "".join(map(chr, [*range(1, 9), *range(14, 31)]))
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substrings": op3_substrings,
+    "op4_lines": op4_lines,
     "op5_quality": op5_quality,
     "op6_source_mix": op6_source_mix,
     "op7_jaccard": op7_jaccard,
@@ -104,4 +113,22 @@ SQL = {
         kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by i) as t from words anti join gone using (doc_id, i) group by doc_id)
         select d.doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
         from d left join kept using (doc_id)""",
+    "op4_lines": rf"""
+        with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+        lines as (select distinct doc_id, i - 1 as p, ls[i] as line from docs, unnest(generate_series(1, len(ls))) as u(i)),
+        firsts as (
+            select line, min({{'d': doc_id, 'p': p}}) as f, len(line) as n, translate(line, '{ACCENTED}', '{PLAIN}') as code,
+                   [len(line) - len(replace(line, c, '')) for c in ['e', 't', 'h', 'a', 'n', 'i', 'r', 's', 'o']] as c
+            from lines where trim(line) <> '' group by line),
+        late as (
+            select distinct a.f from firsts a, range(-2, 3) as r(d) join firsts b on b.n = a.n + d
+            where b.f < a.f and a.n >= 24 and b.n >= 24
+              and {" and ".join(f"abs(a.c[{i}] - b.c[{i}]) <= 2" for i in range(1, 10))}
+              and levenshtein(a.code, b.code) <= 2),
+        marked as (
+            select l.*, trim(line) <> '' and (f < {{'d': doc_id, 'p': p}} or f in (select f from late)) as gone
+            from lines l left join firsts using (line))
+        select doc_id, count(*) as n_lines, cast(count(*) filter (where gone) as bigint) as n_removed,
+               sha256(coalesce(string_agg(line, chr(10) order by p) filter (where gone is not true), '')) as kept_sha256
+        from marked group by doc_id""",
 }
