@@ -1,0 +1 @@
+"""Spark-native bulk processing of scanned documents: inventories, page geometry, text layers, batches."""

@@ -36,7 +36,7 @@ def page_text(streams: Column, objects: Column) -> Column:
     """Text for a page: its text objects' filtered contents in name order, once for each stream that draws one."""
     own = F.array_sort(F.map_entries(text_objects(objects)))
     parts = F.transform(own, lambda e: without_image_lines(e["value"]))
-    drawing = F.filter(streams, draws_object)
+    drawing = F.filter(streams, lambda s: draws_object(s))
     return F.array_join(F.flatten(F.transform(drawing, lambda s: parts)), "\n")
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.codecs import jpeg, pdf, png
 from folioforge.functions import names
 from folioforge.operators import assembly, batch, geometry, imageprep, inventory, selection, textlayer
 from folioforge.plans.bindings import BOXES_SQL, LISTING_SQL, PAGES_SQL, TURNS_SQL, listing, pages, table, turns
@@ -260,7 +262,7 @@ def select_pages_full_cover(spark, sf_dir):
 def page_spec_parse(spark, sf_dir):
     specs = ["all", " ALL ", "0,2,5", "0, 2, 5", "3", "1:10", "1:10:2", ":5", "3:", "::-1", "1:2:3:4", "", "a"]
     own = spark.createDataFrame([(s,) for s in specs], "spec string").select("spec", selection.parsed(F.col("spec")).alias("p"))
-    return own.select("spec", "p.kind", "p.pages", *[F.col(f"p.{c}").cast("string") for c in ("start", "stop", "step")])
+    return own.select("spec", "p.kind", "p.pages", *[F.col(f"p.{c}").cast("string").alias(c) for c in ("start", "stop", "step")])
 
 
 # Image preparation
@@ -395,3 +397,36 @@ def batch_results(spark, sf_dir):
 @query(f"with {RESULTS_SQL} select count(*) as total, count(*) filter (where error is null) as ok, count(error) as failed from r")
 def batch_summary(spark, sf_dir):
     return batch.summary(_results(spark, sf_dir))
+
+
+# Codecs, on bytes made up from parts
+
+
+@query("select p_partkey, 100 + p_size * 17 as width, 50 + p_size as height, cast(null as varchar) as error from part")
+def jpeg_dimensions(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    w, h = (100 + F.col("p_size") * 17).cast("int"), (50 + F.col("p_size")).cast("int")
+    data = F.unhex(F.concat(F.lit("FFD8FFE000040000FFC4000400FFFFC0001108"), F.lpad(F.hex(h), 4, "0"), F.lpad(F.hex(w), 4, "0"), F.lit("03011100021100031100")))
+    return p.select("p_partkey", jpeg.dimensions_column(data).alias("d")).select("p_partkey", "d.*").withColumns({c: F.col(c).cast("int") for c in ("width", "height")})
+
+
+@query("select p_size, greatest(p_size, 10) as width, greatest(p_size % 7, 10) as height, 3 * greatest(p_size, 10) * greatest(p_size % 7, 10) * 255 as total from part group by p_size")
+def png_blank(spark, sf_dir):
+    def run(frames):
+        for frame in frames:
+            made = [png.blank(max(n, 10), max(n % 7, 10)) for n in frame["p_size"]]
+            yield frame.assign(width=[png.size(d)[0] for d in made], height=[png.size(d)[1] for d in made], total=[int(png.decode(d).sum(dtype=int)) for d in made])
+
+    return table(spark, sf_dir, "part").select("p_size").distinct().mapInPandas(run, "p_size int, width int, height int, total int")
+
+
+@query(f"with {PAGES_SQL} select doc, count(*) as n, sum(x1) as width, 24 * 16 * count(*) as pixels from pages group by doc")
+def pdf_roundtrip(spark, sf_dir):
+    def run(frame):
+        w = pdf.Writer()
+        for width in frame.sort_values("page_idx")["x1"]:
+            w.page(width, 842.0, png.blank(24, 16))
+        own = pdf.read(w.data())
+        return pd.DataFrame([(frame["doc"].iloc[0], len(own), sum(p.rect[2] for p in own), sum(i.width * i.height for p in own for i in p.images))], columns=["doc", "n", "width", "pixels"])
+
+    return pages(spark, sf_dir).select("doc", "page_idx", "x1").groupBy("doc").applyInPandas(run, "doc string, n long, width double, pixels long")
