@@ -16,8 +16,8 @@ from folioforge.llm.shared import checked, held_out, written
 
 def _where_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """docs whose id is (left_semi) or isn't (left_anti) among ids, which are broadcast only while few."""
-    ids = written(ids.select(F.col("doc_id").alias("_id")).distinct(), "ids")
-    return docs.join(checked(ids), F.col("doc_id") == F.col("_id"), how)
+    ids = checked(written(ids.select("doc_id").distinct(), "ids"))
+    return docs.join(ids, docs["doc_id"] == ids["doc_id"], how)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 128) -> DataFrame:
-    """The input's rows and columns without those that exact_dedup drops; rows that repeat a kept id stay."""
-    gone = exact_dedup(docs, id_col, text_col, prefix).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """The input's rows and columns without those that exact_dedup drops; rows that repeat a kept id and text stay."""
+    own = exact_dedup(docs, id_col, text_col, prefix, digest_all=True).where("not kept").select("doc_id", "text_sha256").distinct()
+    digest = F.sha2(ascii_lower(docs[text_col]).cast("binary"), 256)
+    return docs.join(own, docs[id_col].eqNullSafe(own["doc_id"]) & (digest == own["text_sha256"]), "left_anti")

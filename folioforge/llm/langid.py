@@ -26,7 +26,7 @@ ORDER, SAMPLE_DOCS, CALIBRATE = 4, 600, 0.2
 #: Quantile of the calibrating documents' cross-entropy, plus slack in nats, plus SHORT / sqrt(letters).
 QUANTILE, SLACK, SHORT = 0.999, 0.4, 3.0
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+MULTIPLIER, MIX, WORD = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), (1 << 64) - 1
 
 
 def _grams(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -40,14 +40,14 @@ def _grams(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]
     piece = np.repeat(np.arange(len(pieces)), lengths)
     place = np.arange(len(code)) - (np.cumsum(lengths) - lengths)[piece]
     hashes = [np.full(len(code), MIX)]
-    power = np.uint64(1)
+    power = 1
     rolled = np.zeros(len(code), np.uint64)
     for k in range(1, ORDER + 1):
         shifted = np.zeros(len(code), np.uint64)
         shifted[k - 1 :] = code[: len(code) - k + 1] if k > 1 else code
-        rolled = rolled + (shifted + np.uint64(1)) * power
-        power = power * MULTIPLIER
-        x = rolled + np.uint64(k) * MIX
+        rolled = rolled + (shifted + np.uint64(1)) * np.uint64(power)
+        power = power * MULTIPLIER & WORD
+        x = rolled + np.uint64(k * int(MIX) & WORD)
         x = (x ^ (x >> np.uint64(29))) * MIX
         hashes.append(x ^ (x >> np.uint64(32)))
     return place, piece, hashes

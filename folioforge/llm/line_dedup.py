@@ -146,14 +146,14 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS
     return written(every.groupBy("d", "t").agg(F.collect_list("p").alias("places")), "line-places")
 
 
-def _marked(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_col: str) -> tuple[DataFrame, Column, Column]:
-    """(docs with the places joined as _p, all lines, kept lines)."""
-    places = gone(docs, threshold, min_chars, id_col, text_col).select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.col("places").alias("_p"))
-    text = F.coalesce(docs[text_col], F.lit(""))
-    rows = docs.join(checked(places), docs[id_col].eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_t")), "left")
+def _marked(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_col: str) -> tuple[DataFrame, Column, Column, Column]:
+    """(docs with the places joined, all lines, kept lines, number of removed ones)."""
+    own = checked(gone(docs, threshold, min_chars, id_col, text_col))
+    text, places = F.coalesce(docs[text_col], F.lit("")), own["places"]
+    rows = docs.join(own, docs[id_col].eqNullSafe(own["d"]) & (F.xxhash64(text) == own["t"]), "left")
     lines = F.split(text, "\n", -1)
-    kept = F.when(F.col("_p").isNull(), lines).otherwise(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_p"), i)))
-    return rows, lines, kept
+    kept = F.when(places.isNull(), lines).otherwise(F.filter(lines, lambda x, i: ~F.array_contains(places, i)))
+    return rows, lines, kept, F.coalesce(F.size(places), F.lit(0)).cast("long")
 
 
 def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,15 +163,15 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     blank line). Rows that repeat id and text are one document and keep the same lines; null ids come last.
     Other columns are ignored; an empty input gives an empty result. See gone() for what goes.
     """
-    rows, lines, kept = _marked(docs, threshold, min_chars, id_col, text_col)
+    rows, lines, kept, n = _marked(docs, threshold, min_chars, id_col, text_col)
     return rows.select(
-        docs[id_col].alias("doc_id"), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("_p"), F.lit(0)).cast("long").alias("n_removed"),
+        docs[id_col].alias("doc_id"), F.size(lines).cast("long").alias("n_lines"), n.alias("n_removed"),
         F.sha2(F.array_join(kept, "\n").cast("binary"), 256).alias("kept_sha256"),
     )
 
 
 def without_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's rows and columns with the kept lines as text; null texts stay null."""
-    rows, _, kept = _marked(docs, threshold, min_chars, id_col, text_col)
+    rows, _, kept, _ = _marked(docs, threshold, min_chars, id_col, text_col)
     new = F.when(docs[text_col].isNotNull(), F.array_join(kept, "\n"))
     return rows.select(*[new.alias(c) if c == text_col else docs[c] for c in docs.columns])

@@ -17,7 +17,7 @@ from folioforge.llm.shared import checked, word_count, written
 #: Weights of the sources in code point order, repeating; most times that a document is taken.
 WEIGHTS, MOST = (5, 2, 1), 3
 #: Leading hex digits of the shuffle hash that name a bucket; buckets of virtual time.
-HEX, SLOTS = 4, 65536
+HEX, SLOTS = 3, 65536
 
 
 def order_key(doc_id: Column, seed: str) -> Column:
@@ -106,6 +106,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: st
     """The input's columns; a row as many times as the mix takes it, none if that is 0 or it has no word."""
     times = _mixed(docs, weights, most, seed, id_col, text_col, source_col).where("times > 0 and size > 0")
     times = written(times.select(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_size"), "times").distinct(), "mix-times")
-    same = docs[id_col].eqNullSafe(F.col("_id")) & docs[source_col].cast("string").eqNullSafe(F.col("_src")) & (word_count(docs[text_col]) == F.col("_size"))
-    rows = docs.join(checked(times), same)
-    return rows.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*[docs[c] for c in docs.columns])
+    times = checked(times)
+    same = docs[id_col].eqNullSafe(times["_id"]) & docs[source_col].cast("string").eqNullSafe(times["_src"]) & (word_count(docs[text_col]) == times["_size"])
+    row = F.struct(*[docs[c].alias(c) for c in docs.columns])
+    return docs.join(times, same).select(F.explode(F.array_repeat(row, times["times"].cast("int"))).alias("row")).select("row.*")

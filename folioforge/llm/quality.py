@@ -151,7 +151,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_d
     got = rows.mapInArrow(run, "doc_id long, y int, b binary, x binary, s binary").collect()
     got = sorted((r["doc_id"], r["y"], bytes(r["b"]), bytes(r["x"]), bytes(r["s"])) for r in got)
     if not got:
-        return Model()
+        model = Model()
+        model.v[:] = 0
+        return model
     return train([(y, np.frombuffer(b, "<i4"), np.frombuffer(x, "<f4").astype(float), np.frombuffer(s, "<f8")) for _, y, b, x, s in got])
 
 
