@@ -180,10 +180,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, recall: float = RE
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index, tree, sizes, visits = made
     slices = {leaf: -(-n // SLICE) for leaf, n in sizes.items()}
-    cuts = F.lit(1)
-    for leaf, n in slices.items():
-        if n > 1:
-            cuts = F.when(F.col("leaf") == leaf, n).otherwise(cuts)
+    cuts = spark.createDataFrame(list(slices.items()), "leaf long, cuts long")  # one row per leaf
 
     def probe(it):
         for b in it:
@@ -199,7 +196,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, recall: float = RE
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[at : at + 2000]), [pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.int32()])], names=["id", "v", "leaf", "slice"])
 
     queries = index.where(is_query).select("vec_id", "v").mapInArrow(probe, "id long, v array<double>, leaf long, slice int")
-    rows = index.select(F.col("vec_id").alias("id"), "v", "leaf", F.pmod(F.xxhash64("vec_id"), cuts.cast("long")).cast("int").alias("slice"))
+    rows = index.join(F.broadcast(cuts), "leaf").select(F.col("vec_id").alias("id"), "v", "leaf", F.pmod(F.xxhash64("vec_id"), F.col("cuts")).cast("int").alias("slice"))
     both = rows.withColumn("asks", F.lit(0)).unionByName(queries.withColumn("asks", F.lit(1)))
     both = both.repartition("leaf", "slice").sortWithinPartitions("leaf", "slice", "asks", "id")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 #: Most rows of a side that is broadcast; beyond it the same join shuffles.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
