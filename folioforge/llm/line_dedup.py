@@ -17,8 +17,10 @@ from folioforge.llm.shared import checked, written
 
 #: Edit distance; characters from which on a line is compared by it (shorter ones only if equal).
 THRESHOLD, MIN_CHARS = 2, 24
-#: Letters counted in the signature, ten bits each.
-LETTERS = "entair"
+#: Characters after the first difference that are compared before the rest.
+HEAD = 12
+#: Letters counted in the signature, six in a long, ten bits each; and those that are counted for pairs beside them.
+LETTERS, OTHERS = ("entair", "shoudl"), ("bcfgjk", "mpqvwx", "yz ,.é")
 
 
 def segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
@@ -50,35 +52,61 @@ def probe_keys(line: Column, threshold: int) -> Column:
     return F.array(*out)
 
 
-def signature(line: Column) -> Column:
-    out = F.lit(0).cast("long")
-    for i, c in enumerate(LETTERS):
-        count = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft((count % 1024).cast("long"), 10 * i))
-    return out
+def bound(values: dict[str, Column], use) -> Column:
+    """use(struct of the values), where each value is computed once however often it is used."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), use), 0)
+
 
+def signature(line: Column, groups: tuple[str, ...] = LETTERS) -> Column:
+    """An array of longs with the counts of each group's letters."""
+    longs = []
+    for letters in groups:
+        out = F.lit(0).cast("long")
+        for i, c in enumerate(letters):
+            count = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
+            out = out.bitwiseOR(F.shiftleft((count % 1024).cast("long"), 10 * i))
+        longs.append(out)
+    return F.array(*longs)
 
-def apart(a: Column, b: Column) -> Column:
+
+def apart(a: Column, b: Column, groups: tuple[str, ...] = LETTERS) -> Column:
     """At most twice the edit distance of lines with these signatures."""
-    def one(i: int) -> Column:
-        d = F.abs(F.shiftright(a, 10 * i).bitwiseAND(F.lit(1023)) - F.shiftright(b, 10 * i).bitwiseAND(F.lit(1023)))
-        return F.least(d, 1024 - d)
+    out = F.lit(0)
+    for n, letters in enumerate(groups):
+        for i in range(len(letters)):
+            d = F.abs(F.shiftright(a[n], 10 * i).bitwiseAND(F.lit(1023)) - F.shiftright(b[n], 10 * i).bitwiseAND(F.lit(1023)))
+            out = out + F.least(d, 1024 - d)
+    return out
+
+
+def trimmed(a: Column, b: Column) -> Column:
+    """struct a, b without their common beginning and end, which no shortest edit needs to touch."""
+    steps = F.array(*[F.lit(1 << i) for i in range(14, -1, -1)])
+    longest = lambda same: F.aggregate(steps, F.lit(0), lambda n, s: F.when(same(n, s), n + s).otherwise(n))
+
+    def front(x: Column) -> Column:
+        n = longest(lambda n, s: (n + s <= F.least(F.length(x["a"]), F.length(x["b"]))) & (F.substr(x["a"], n + 1, s) == F.substr(x["b"], n + 1, s)))
+        return bound({"n": n, "a": x["a"], "b": x["b"]}, lambda y: F.struct(F.substr(y["a"], y["n"] + 1).alias("a"), F.substr(y["b"], y["n"] + 1).alias("b")))
+
+    def back(x: Column) -> Column:
+        tail = lambda c, n, s: F.substr(c, F.length(c) - n - s + 1, s)
+        n = longest(lambda n, s: (n + s <= F.least(F.length(x["a"]), F.length(x["b"]))) & (tail(x["a"], n, s) == tail(x["b"], n, s)))
+        return bound({"n": n, "a": x["a"], "b": x["b"]}, lambda y: F.struct(F.substr(y["a"], F.lit(1), F.length(y["a"]) - y["n"]).alias("a"), F.substr(y["b"], F.lit(1), F.length(y["b"]) - y["n"]).alias("b")))
 
-    return sum((one(i) for i in range(1, len(LETTERS))), one(0))
+    return bound({"x": bound({"a": a, "b": b}, front)}, lambda x: back(x["x"]))
 
 
-def within(pattern: Column, text: Column, threshold: int) -> Column:
-    """Whether the edit distance is at most threshold, by a banded bit-parallel automaton.
+def automaton(pattern: Column, text: Column, threshold: int) -> Column:
+    """Last register, after all of the text, of a banded bit-parallel automaton.
 
     Register e has bit k + threshold set when the first j + k characters of the pattern are within e edits of the
     first j of the text, for k in -threshold..threshold. For each character of the text, the band's matches are
     one word, and all diagonals advance at once: by match, substitution, insertion and deletion.
     """
-    p, t, band = F.split(pattern, ""), F.split(text, ""), 2 * threshold + 1
-    here = lambda j, k: F.coalesce(F.get(p, j + k) == F.get(t, j), F.lit(False)).cast("int")
+    band = 2 * threshold + 1
 
-    def matches(j: Column) -> Column:
-        bits = [F.shiftleft(here(j, k), k + threshold) for k in range(-threshold, threshold + 1)]
+    def matches(x: Column, j: Column) -> Column:
+        bits = [F.shiftleft(F.coalesce(F.get(x["p"], j + k) == F.get(x["t"], j), F.lit(False)).cast("int"), k + threshold) for k in range(-threshold, threshold + 1)]
         return sum(bits[1:], bits[0])
 
     def advance(state: Column, m: Column) -> Column:
@@ -93,17 +121,42 @@ def within(pattern: Column, text: Column, threshold: int) -> Column:
 
     # Before any character of the text, k characters of the pattern are k deletions away.
     start = F.struct(*[F.lit(((1 << (e + 1)) - 1) << threshold).alias(f"r{e}") for e in range(threshold + 1)])
-    words = F.transform(F.sequence(F.lit(0), F.length(text) - 1), matches)
-    end = F.length(pattern) - F.length(text) + threshold
-    done = F.aggregate(words, start, advance, lambda s: F.call_function("shiftright", s[f"r{threshold}"], end).bitwiseAND(F.lit(1)) == 1)
-    return (F.abs(F.length(pattern) - F.length(text)) <= threshold) & F.when(F.length(text) == 0, F.length(pattern) <= threshold).otherwise(done)
+    places = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1)).otherwise(F.array().cast("array<int>"))
+    words = bound({"p": F.split(pattern, ""), "t": F.split(text, ""), "js": places}, lambda x: F.transform(x["js"], lambda j: matches(x, j)))
+    return F.aggregate(words, start, advance, lambda s: s[f"r{threshold}"])
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(d, t, p, line) of every line with something in it: document id, hash of its text, place from 0."""
+def within(a: Column, b: Column, threshold: int) -> Column:
+    """Whether the edit distance is at most threshold.
+
+    Only what lies between the first and the last difference is compared, and most pairs end after its first
+    HEAD characters, where the automaton has no state left.
+    """
+
+    def decide(x: Column) -> Column:
+        p, t = x["a"], x["b"]
+        alive = automaton(F.substr(p, F.lit(1), F.lit(HEAD + threshold)), F.substr(t, F.lit(1), F.lit(HEAD)), threshold) != 0
+        bit = F.call_function("shiftright", automaton(p, t, threshold), F.length(p) - F.length(t) + threshold).bitwiseAND(F.lit(1))
+        return F.when(F.abs(F.length(p) - F.length(t)) > threshold, False).when(~alive, False).otherwise(bit == 1)
+
+    return bound({"x": trimmed(a, b)}, lambda x: decide(x["x"]))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame | None = None) -> DataFrame:
+    """(d, t, p, line) of every line with something in it: document id, hash of its text, place from 0.
+
+    gone (d, t, places) names lines to leave out; it is joined before lines are made, so text moves only if gone
+    has too many rows to broadcast.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("t"), F.posexplode(F.split(text, "\n", -1)).alias("p", "line"))
-    return rows.where(F.btrim("line") != "")
+    rows = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
+    if gone is None:
+        rows = rows.select("d", "t", F.posexplode(F.split("text", "\n", -1)).alias("p", "line"))
+        return rows.where(F.btrim("line") != "")
+    gone = checked(gone)
+    both = rows.join(gone, rows["d"].eqNullSafe(gone["d"]) & (rows["t"] == gone["t"]), "left")
+    rows = both.select(rows["d"], rows["t"], "places", F.posexplode(F.split("text", "\n", -1)).alias("p", "line"))
+    return rows.where((F.btrim("line") != "") & ~F.coalesce(F.array_contains("places", F.col("p")), F.lit(False))).drop("places")
 
 
 def _order(d: Column) -> Column:
@@ -120,30 +173,34 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS
     A line goes if one that comes before it is equal, or within threshold edits and both have min_chars or more.
     Lines are in order of document id (null last), hash of the text, place; all are judged on the input.
     """
-    lines = _lines(docs, id_col, text_col)
-    named = lines.select("d", "t", "p", "line", *_named())
-    occurrences = written(named.select("d", "t", "p", "h", "g"), "lines")
-    first = written(occurrences.groupBy("h", "g").agg(F.min(_order(F.col("d"))).alias("first")), "first-lines")
-
-    distinct = lines.where(F.length("line") >= min_chars).groupBy("line").agg(F.lit(1).alias("_one")).select("line", F.xxhash64("line").alias("h"), signature(F.col("line")).alias("s"))
-    index = distinct.select("h", "s", F.explode(index_keys(F.col("line"), threshold)).alias("k"))
-    probes = distinct.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.explode(probe_keys(F.col("line"), threshold)).alias("x")).select("h2", "s2", "x.k", "x.shorter")
+    occurrences = written(_lines(docs, id_col, text_col).select("d", "t", "p", *_named()), "lines")
+    first = occurrences.groupBy("h", "g").agg(F.min(_order(F.col("d"))).alias("first"))
+    again = occurrences.join(first, ["h", "g"]).where(F.col("first") < _order(F.col("d")))
+    again = written(again.groupBy("d", "t").agg(F.collect_set("p").alias("places")), "again")
+
+    # What is left has every line once, where it first stands.
+    fresh = _lines(docs, id_col, text_col, again).where(F.length("line") >= min_chars)
+    fresh = written(fresh.select(F.xxhash64("line").alias("h"), "line", signature(F.col("line")).alias("s"), _order(F.col("d")).alias("f")), "fresh")
+    index = fresh.select("h", "s", F.explode(index_keys(F.col("line"), threshold)).alias("k"))
+    probes = fresh.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.explode(probe_keys(F.col("line"), threshold)).alias("x")).select("h2", "s2", "x.k", "x.shorter")
     # Of lines of one length, either may be the indexed one.
     near = (index["k"] == probes["k"]) & (F.col("h") != F.col("h2")) & ((F.col("shorter") > 0) | (F.col("h") < F.col("h2"))) & (apart(F.col("s"), F.col("s2")) <= 2 * threshold)
     pairs = written(index.join(probes, near).select("h", "h2").distinct(), "line-pairs")
 
-    names = pairs.select("h").union(pairs.select("h2")).distinct().withColumnRenamed("h", "_h")
-    texts = lines.where(F.length("line") >= min_chars).select("line", *_named())
-    texts = texts.join(checked(written(names, "line-names")), F.col("h") == F.col("_h")).drop("_h").distinct()
-    texts = written(texts.join(first, ["h", "g"]), "line-texts")
-    one = texts.select("h", F.col("line").alias("a"), F.col("first").alias("fa"))
-    two = texts.select(F.col("h").alias("h2"), F.col("line").alias("b"), F.col("first").alias("fb"))
-    close = pairs.join(one, "h").join(two, "h2").where(within(F.col("a"), F.col("b"), threshold))
+    names = checked(written(pairs.select("h").union(pairs.select("h2")).distinct(), "line-names"))
+    texts = written(fresh.join(names, "h", "left_semi").select("h", "line", "f"), "line-texts")
+    one = texts.select("h", F.col("line").alias("a"), F.col("f").alias("fa"))
+    two = texts.select(F.col("h").alias("h2"), F.col("line").alias("b"), F.col("f").alias("fb"))
+    every = LETTERS + OTHERS
+    both = pairs.join(one, "h").join(two, "h2")
+    low = bound({"a": signature(F.col("a"), every), "b": signature(F.col("b"), every)}, lambda x: apart(x["a"], x["b"], every))
+    # Few bytes, much work for each: spread by number, which isn't coalesced.
+    both = both.where(low <= 2 * threshold).repartition(4 * docs.sparkSession.sparkContext.defaultParallelism)
+    close = both.where(within(F.col("a"), F.col("b"), threshold))
     late = close.select(F.greatest("fa", "fb").alias("f"), F.least("fa", "fb").alias("e")).where("e < f").select("f.d", "f.t", "f.p")
 
-    again = occurrences.join(first, ["h", "g"]).where(F.col("first") < _order(F.col("d"))).select("d", "t", "p")
-    every = again.unionByName(late).distinct()
-    return written(every.groupBy("d", "t").agg(F.collect_list("p").alias("places")), "line-places")
+    every_place = again.select("d", "t", F.explode("places").alias("p")).unionByName(late)
+    return written(every_place.groupBy("d", "t").agg(F.collect_set("p").alias("places")), "line-places")
 
 
 def _marked(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_col: str) -> tuple[DataFrame, Column, Column, Column]:
