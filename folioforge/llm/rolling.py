@@ -13,7 +13,7 @@ from folioforge.llm.words import WordRows
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 FINISH = np.uint64(0xBF58476D1CE4E5B9)
 #: Words that are hashed at once; a longer text is taken in overlapping stretches.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 

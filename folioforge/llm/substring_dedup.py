@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from folioforge.llm import bitmap, rolling
 from folioforge.llm.shared import batches, checked, written
 
-WINDOW, ANCHOR = 50, 10
+WINDOW, ANCHOR = 50, 30
 #: Bytes of text in a numpy batch.
 BATCH = 8 << 20
 

@@ -82,7 +82,7 @@ def cut(rows, window):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("window, stretch", [(50, 1 << 20), (7, 64), (3, 1 << 20)])
+@pytest.mark.parametrize("window, stretch", [(50, 1 << 18), (7, 64), (3, 1 << 18)])
 def test_substrings(spark, monkeypatch, window, stretch):
     monkeypatch.setattr(rolling, "STRETCH", stretch)
     rows = corpus(2) + [(None, "a " * 60), (7000, "a " * 60), (7001, "b " * 130), (7002, "b " * 130)]
