@@ -19,8 +19,8 @@ from folioforge.llm.shared import checked, written
 THRESHOLD, MIN_CHARS = 2, 24
 #: Characters after the first difference that are compared before the rest.
 HEAD = 12
-#: Letters counted in the signature, six in a long, ten bits each; and those that are counted for pairs beside them.
-LETTERS, OTHERS = ("entair", "shoudl"), ("bcfgjk", "mpqvwx", "yz ,.é")
+#: Letters counted in the signature, five bits each in a long; and those that are counted for pairs beside them.
+LETTERS, OTHERS = "entairshoudl", ("bcfgjkmpqvwx", "yz ,.é")
 
 
 def segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
@@ -57,25 +57,21 @@ def bound(values: dict[str, Column], use) -> Column:
     return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), use), 0)
 
 
-def signature(line: Column, groups: tuple[str, ...] = LETTERS) -> Column:
-    """An array of longs with the counts of each group's letters."""
-    longs = []
-    for letters in groups:
-        out = F.lit(0).cast("long")
-        for i, c in enumerate(letters):
-            count = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
-            out = out.bitwiseOR(F.shiftleft((count % 1024).cast("long"), 10 * i))
-        longs.append(out)
-    return F.array(*longs)
+def signature(line: Column, letters: str = LETTERS) -> Column:
+    """A long with the counts of up to twelve letters, modulo 32."""
+    out = F.lit(0).cast("long")
+    for i, c in enumerate(letters):
+        count = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft((count % 32).cast("long"), 5 * i))
+    return out
 
 
-def apart(a: Column, b: Column, groups: tuple[str, ...] = LETTERS) -> Column:
+def apart(a: Column, b: Column, letters: str = LETTERS) -> Column:
     """At most twice the edit distance of lines with these signatures."""
     out = F.lit(0)
-    for n, letters in enumerate(groups):
-        for i in range(len(letters)):
-            d = F.abs(F.shiftright(a[n], 10 * i).bitwiseAND(F.lit(1023)) - F.shiftright(b[n], 10 * i).bitwiseAND(F.lit(1023)))
-            out = out + F.least(d, 1024 - d)
+    for i in range(len(letters)):
+        d = F.abs(F.shiftright(a, 5 * i).bitwiseAND(F.lit(31)) - F.shiftright(b, 5 * i).bitwiseAND(F.lit(31)))
+        out = out + F.least(d, 32 - d)
     return out
 
 
@@ -191,9 +187,10 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS
     texts = written(fresh.join(names, "h", "left_semi").select("h", "line", "f"), "line-texts")
     one = texts.select("h", F.col("line").alias("a"), F.col("f").alias("fa"))
     two = texts.select(F.col("h").alias("h2"), F.col("line").alias("b"), F.col("f").alias("fb"))
-    every = LETTERS + OTHERS
     both = pairs.join(one, "h").join(two, "h2")
-    low = bound({"a": signature(F.col("a"), every), "b": signature(F.col("b"), every)}, lambda x: apart(x["a"], x["b"], every))
+    every = (LETTERS, *OTHERS)
+    counts = {f"{c}{i}": signature(F.col(c), letters) for c in "ab" for i, letters in enumerate(every)}
+    low = bound(counts, lambda x: sum((apart(x[f"a{i}"], x[f"b{i}"], letters) for i, letters in enumerate(every)), F.lit(0)))
     # Few bytes, much work for each: spread by number, which isn't coalesced.
     both = both.where(low <= 2 * threshold).repartition(4 * docs.sparkSession.sparkContext.defaultParallelism)
     close = both.where(within(F.col("a"), F.col("b"), threshold))
