@@ -13,6 +13,9 @@ from folioforge.llm import jaccard_join, langid, line_dedup, mixing, packing
 from folioforge.llm.queries import tokenizer_path
 from folioforge.llm.shared import checked, held_out, written
 
+#: Percent of a line's characters that a near copy may differ in (two edits at least).
+LINE_PERCENT = 5
+
 
 def _where_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """docs whose id is (left_semi) or isn't (left_anti) among ids, which are broadcast only while few."""
@@ -28,8 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that repeat an earlier one within the edit distance; n_chars follows the text."""
-    out = line_dedup.without_lines(docs)
+    """Documents without the lines that repeat an earlier one within a twentieth of its length; n_chars follows the text."""
+    out = line_dedup.without_lines(docs, percent=LINE_PERCENT)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

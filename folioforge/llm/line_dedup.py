@@ -6,6 +6,9 @@ with the few substrings that could match (multi-match-aware selection) meets eve
 segments are shuffled, of distinct lines, with a signature of letter counts: it refuses, inside the join, nearly
 all pairs that share a segment but are too far apart, so that many variants of a line don't become as many
 pairs. Pairs left over are verified by a banded bit-parallel automaton.
+
+With percent, the threshold grows with the shorter line. Lengths of like thresholds form a class with segments of one
+size at fixed places, and a longer line is probed at the places where a segment may have moved to.
 """
 
 from __future__ import annotations
@@ -17,6 +20,10 @@ from folioforge.llm.shared import checked, written
 
 #: Edit distance; characters from which on a line is compared by it (shorter ones only if equal).
 THRESHOLD, MIN_CHARS = 2, 24
+#: Characters of a piece that probed substrings are cut from, so that a long line isn't walked for each.
+PIECE = 256
+#: Edits from which on a class is probed at every place: the places where segments may lie then cover the line.
+EVERYWHERE = 24
 #: Characters after the first difference that are compared before the rest.
 HEAD = 12
 #: Letters counted in the signature, five bits each in a long; and those that are counted for pairs beside them.
@@ -52,6 +59,72 @@ def probe_keys(line: Column, threshold: int) -> Column:
     return F.array(*out)
 
 
+def allowance(length: Column, threshold: int, percent: int) -> Column:
+    """Edits allowed when the shorter line has that length."""
+    return F.greatest(F.lit(threshold), F.floor(length * percent / 100).cast("int"))
+
+
+def _class(t: Column) -> tuple[Column, Column]:
+    """(first, last) number of edits of the class with t: those with the same four leading bits."""
+    wide = F.call_function("shiftleft", F.lit(1), F.greatest(F.lit(0), F.length(F.bin(t)) - 4))
+    first = (t - t % wide).cast("int")
+    return first, (first + wide - 1).cast("int")
+
+
+def _least(t: Column, percent: int) -> Column:
+    """The least length of which percent are t edits."""
+    return F.ceil(t * 100 / percent).cast("int")
+
+
+def _cut(line: Column, places: Column, size: Column, t: Column) -> Column:
+    """struct k, p for each place from 0: key of the substring of that size."""
+    pieces = F.transform(F.sequence(F.lit(0), F.floor(F.length(line) / PIECE).cast("int")), lambda i: F.substr(line, i * PIECE + 1, size + PIECE))
+    use = lambda x: F.transform(x["places"], lambda q: F.struct(F.xxhash64(t, F.substr(F.get(x["pieces"], F.floor(q / PIECE).cast("int")), q % PIECE + 1, size)).alias("k"), q.alias("p")))
+    return bound({"pieces": pieces, "places": places}, use)
+
+
+def class_index(line: Column, percent: int) -> Column:
+    """Keys of the line's segments, one more than the class's last number of edits."""
+
+    def keys(x: Column) -> Column:
+        size = F.floor(_least(x["first"], percent) / (x["last"] + 1)).cast("int")
+        return bound({"last": x["last"], "size": size}, lambda y: _cut(line, F.transform(F.sequence(F.lit(0), y["last"]), lambda i: i * y["size"]), y["size"], y["last"]))
+
+    first, last = _class(F.floor(F.length(line) * percent / 100).cast("int"))
+    return bound({"first": first, "last": last}, keys)
+
+
+def class_probes(line: Column, threshold: int, percent: int) -> Column:
+    """Keys of the substrings that may equal a segment of a line no longer than this, whose percent is over threshold."""
+    none = F.array().cast("array<int>")
+
+    def one(n: Column, first: Column, last: Column) -> Column:
+        # Lines of the class are shorter by few..many.
+        few, many = F.greatest(F.lit(0), n - _least(last + 1, percent) + 1), F.least(last, n - _least(first, percent))
+        size = F.floor(_least(first, percent) / (last + 1)).cast("int")
+
+        def keys(x: Column) -> Column:
+            # i edits at most lie before the segment, last - i behind it.
+            def moved(i: Column) -> Column:
+                low, high = F.greatest(-i, x["few"] - x["t"] + i), F.least(i, x["many"] + x["t"] - i)
+                a, b = F.greatest(F.lit(0), i * x["size"] + low), F.least(x["n"] - x["size"], i * x["size"] + high)
+                return F.when(a <= b, F.sequence(a, F.greatest(a, b))).otherwise(none)
+
+            some = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), x["t"]), moved)))
+            places = F.when(x["few"] > x["many"], none).when(x["t"] < EVERYWHERE, some).otherwise(F.sequence(F.lit(0), x["n"] - x["size"]))
+            return _cut(line, places, x["size"], x["t"])
+
+        return bound({"n": n, "t": last, "few": few, "many": many, "size": size}, keys)
+
+    def every(x: Column) -> Column:
+        # The shortest partner has n - most characters at least.
+        low = F.greatest(F.lit(threshold + 1), F.floor((x["n"] - x["most"]) * percent / 100).cast("int"))
+        classes = F.array_distinct(F.transform(F.sequence(low, F.greatest(low, x["most"])), lambda t: F.struct(*[c.alias(k) for c, k in zip(_class(t), ("first", "last"))])))
+        return F.when(low <= x["most"], F.flatten(F.transform(classes, lambda c: one(x["n"], c["first"], c["last"]))))
+
+    return bound({"n": F.length(line), "most": F.floor(F.length(line) * percent / 100).cast("int")}, every)
+
+
 def bound(values: dict[str, Column], use) -> Column:
     """use(struct of the values), where each value is computed once however often it is used."""
     return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), use), 0)
@@ -163,12 +236,15 @@ def _named() -> list[Column]:
     return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), F.col("line")).alias("g")]
 
 
-def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
     """(d, t, places): per document (id and hash of text) the places of lines to remove.
 
-    A line goes if one that comes before it is equal, or within threshold edits and both have min_chars or more.
-    Lines are in order of document id (null last), hash of the text, place; all are judged on the input.
+    A line goes if one that comes before it is equal, or within threshold edits (or, if that is more, percent of
+    the shorter line's characters) and both have min_chars or more. Lines are in order of document id (null last),
+    hash of the text, place; all are judged on the input.
     """
+    if not 0 <= percent <= 50:
+        raise ValueError(f"percent must lie between 0 and 50, not {percent}")
     occurrences = written(_lines(docs, id_col, text_col).select("d", "t", "p", *_named()), "lines")
     first = occurrences.groupBy("h", "g").agg(F.min(_order(F.col("d"))).alias("first"))
     again = occurrences.join(first, ["h", "g"]).where(F.col("first") < _order(F.col("d")))
@@ -181,7 +257,16 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS
     probes = fresh.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.explode(probe_keys(F.col("line"), threshold)).alias("x")).select("h2", "s2", "x.k", "x.shorter")
     # Of lines of one length, either may be the indexed one.
     near = (index["k"] == probes["k"]) & (F.col("h") != F.col("h2")) & ((F.col("shorter") > 0) | (F.col("h") < F.col("h2"))) & (apart(F.col("s"), F.col("s2")) <= 2 * threshold)
-    pairs = written(index.join(probes, near).select("h", "h2").distinct(), "line-pairs")
+    met = index.join(probes, near).select("h", "h2")
+    if percent:
+        own = fresh.select("h", "s", F.length("line").alias("n"), "line")
+        index = own.where(F.floor(F.col("n") * percent / 100) > threshold).select("h", "s", "n", F.explode(class_index(F.col("line"), percent)).alias("x")).select("h", "s", "n", "x.k", "x.p")
+        probes = own.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.col("n").alias("n2"), F.explode(class_probes(F.col("line"), threshold, percent)).alias("x")).select("h2", "s2", "n2", F.col("x.k").alias("k2"), F.col("x.p").alias("p2"))
+        tau = allowance(F.col("n"), threshold, percent)
+        near = (F.col("k") == F.col("k2")) & (F.col("h") != F.col("h2")) & ((F.col("n") < F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("h") < F.col("h2")))
+        near = near & (F.col("n2") - F.col("n") <= tau) & (F.abs(F.col("p2") - F.col("p")) <= tau) & (apart(F.col("s"), F.col("s2")) <= 2 * tau)
+        met = met.unionByName(index.join(probes, near).select("h", "h2"))
+    pairs = written(met.distinct(), "line-pairs")
 
     names = checked(written(pairs.select("h").union(pairs.select("h2")).distinct(), "line-names"))
     texts = written(fresh.join(names, "h", "left_semi").select("h", "line", "f"), "line-texts")
@@ -192,17 +277,19 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS
     counts = {f"{c}{i}": signature(F.col(c), letters) for c in "ab" for i, letters in enumerate(every)}
     low = bound(counts, lambda x: sum((apart(x[f"a{i}"], x[f"b{i}"], letters) for i, letters in enumerate(every)), F.lit(0)))
     # Few bytes, much work for each: spread by number, which isn't coalesced.
-    both = both.where(low <= 2 * threshold).repartition(4 * docs.sparkSession.sparkContext.defaultParallelism)
-    close = both.where(within(F.col("a"), F.col("b"), threshold))
+    tau = allowance(F.least(F.length("a"), F.length("b")), threshold, percent)
+    both = both.where(low <= 2 * tau).repartition(4 * docs.sparkSession.sparkContext.defaultParallelism)
+    fits = F.call_function("levenshtein", F.col("a"), F.col("b"), tau) >= 0
+    close = both.where(F.when(tau > threshold, fits).otherwise(within(F.col("a"), F.col("b"), threshold)) if percent else within(F.col("a"), F.col("b"), threshold))
     late = close.select(F.greatest("fa", "fb").alias("f"), F.least("fa", "fb").alias("e")).where("e < f").select("f.d", "f.t", "f.p")
 
     every_place = again.select("d", "t", F.explode("places").alias("p")).unionByName(late)
     return written(every_place.groupBy("d", "t").agg(F.collect_set("p").alias("places")), "line-places")
 
 
-def _marked(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_col: str) -> tuple[DataFrame, Column, Column, Column]:
+def _marked(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, Column, Column, Column]:
     """(docs with the places joined, all lines, kept lines, number of removed ones)."""
-    own = checked(gone(docs, threshold, min_chars, id_col, text_col))
+    own = checked(gone(docs, threshold, min_chars, id_col, text_col, percent))
     text, places = F.coalesce(docs[text_col], F.lit("")), own["places"]
     rows = docs.join(own, docs[id_col].eqNullSafe(own["d"]) & (F.xxhash64(text) == own["t"]), "left")
     lines = F.split(text, "\n", -1)
@@ -210,22 +297,22 @@ def _marked(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_c
     return rows, lines, kept, F.coalesce(F.size(places), F.lit(0)).cast("long")
 
 
-def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_removed, kept_sha256 (of the kept lines joined by line feeds).
 
     Lines are what line feeds separate; blank ones stay and are never compared. Null texts count as empty (one
     blank line). Rows that repeat id and text are one document and keep the same lines; null ids come last.
     Other columns are ignored; an empty input gives an empty result. See gone() for what goes.
     """
-    rows, lines, kept, n = _marked(docs, threshold, min_chars, id_col, text_col)
+    rows, lines, kept, n = _marked(docs, threshold, min_chars, id_col, text_col, percent)
     return rows.select(
         docs[id_col].alias("doc_id"), F.size(lines).cast("long").alias("n_lines"), n.alias("n_removed"),
         F.sha2(F.array_join(kept, "\n").cast("binary"), 256).alias("kept_sha256"),
     )
 
 
-def without_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
     """The input's rows and columns with the kept lines as text; null texts stay null."""
-    rows, _, kept, _ = _marked(docs, threshold, min_chars, id_col, text_col)
+    rows, _, kept, _ = _marked(docs, threshold, min_chars, id_col, text_col, percent)
     new = F.when(docs[text_col].isNotNull(), F.array_join(kept, "\n"))
     return rows.select(*[new.alias(c) if c == text_col else docs[c] for c in docs.columns])

@@ -160,6 +160,31 @@ def test_lines(spark):
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("percent", [5, 12, 50])
+def test_lines_threshold_grows(spark, percent):
+    """A changed word in a long line is more than two edits: the allowance is a share of the shorter line."""
+    r = random.Random(percent)
+    bases = ["".join(r.choice("abcdefé  ") for _ in range(n)) for n in (24, 40, 59, 60, 61, 120, 255, 300, 620)] + ["x" * 270]
+    rows = []
+    for i in range(90):
+        base = r.choice(bases)
+        rows.append((i, edited(r, base, r.randrange(0, 3 + len(base) * min(percent, 15) // 80))))
+    rows += [(100, "\n".join((bases[5], bases[5][:50] + "edanon" + bases[5][56:]))), (None, bases[6])]
+    lines = [(i, p, line) for i, t in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)) for p, line in enumerate(t.split("\n")) if line.strip(" ")]
+    want = {}
+    for n, (i, p, line) in enumerate(lines):
+        for _, _, b in lines[:n]:
+            short = min(len(b), len(line))
+            most = max(2, short * percent // 100)
+            if b == line or short >= 24 and abs(len(b) - len(line)) <= most and distance(b, line) <= most:
+                want.setdefault(i, set()).add(p)
+                break
+    got = line_dedup.without_lines(frame(spark, rows), percent=percent)
+    kept = {i: "\n".join(x for p, x in enumerate(t.split("\n")) if p not in want.get(i, ())) for i, t in rows}
+    assert {x.doc_id: x.text for x in got.collect()} == kept
+    assert 1 in want[100]
+
+
 def linked(rows, percent=80):
     sets = {}
     for i, t in rows:
