@@ -223,6 +223,17 @@ def test_jaccard_edges(spark):
     assert jaccard_join.jaccard_components(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("block", [1500, 2])
+def test_jaccard_id_with_several_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 1)
+    text = lambda c, last="": " ".join(f"{c}{i}" for i in range(30)) + last
+    rows = [(1, text("a")), (2, text("b")), (5, text("a", " x")), (5, text("b", " y")), (5, text("b", " y"))]
+    rows += [(11, text("c")), (12, text("d")), (13, text("c")), (13, text("d", " z")), (13, text("alone"))]
+    got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, 1 if i < 10 else 11) for i, _ in rows)
+
+
 def test_t_occurrence_counts_all():
     r = random.Random(3)
     for _ in range(300):
