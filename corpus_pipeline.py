@@ -6,7 +6,7 @@ and rereads it as the next stage's docs. All but the last return the columns of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import jaccard_join, langid, line_dedup, mixing, packing
@@ -17,17 +17,16 @@ from folioforge.llm.shared import checked, held_out, written
 LINE_PERCENT = 5
 
 
-def _where_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """docs whose id is (left_semi) or isn't (left_anti) among ids, which are broadcast only while few."""
-    ids = checked(written(ids.select("doc_id").distinct(), "ids"))
-    return docs.join(ids, docs["doc_id"] == ids["doc_id"], how)
+def _text_hash() -> Column:
+    return F.xxhash64("text")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language models don't reject; a document with a null id goes with its text's verdict."""
+    """Documents that the language models don't reject. Each row goes by its own text's verdict, whatever its id."""
     model = langid.fit(docs.where(~held_out(F.col("doc_id"))))
-    rejected = langid.predict(docs, model).where("rejected").select("doc_id")
-    return _where_ids(docs, rejected, "left_anti")
+    verdicts = langid.predict(docs.select(_text_hash().alias("_text"), "text"), model, id_col="_text")
+    rejected = checked(written(verdicts.where("rejected").select(F.col("doc_id").alias("_gone")).distinct(), "rejected"))
+    return docs.join(rejected, _text_hash() == F.col("_gone"), "left_anti")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +37,22 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return out
 
 
+def _once(docs: DataFrame) -> DataFrame:
+    """docs with one row (the least) of those that repeat id and text, null equal to null."""
+    keys = docs.select("doc_id", _text_hash().alias("_text"))
+    again = written(keys.groupBy("doc_id", "_text").count().where("count > 1").select(F.col("doc_id").alias("_id"), "_text"), "repeated-rows")
+    if not again.limit(1).count():
+        return docs
+    same = docs["doc_id"].eqNullSafe(again["_id"]) & (F.xxhash64(docs["text"]) == again["_text"])
+    one = docs.join(checked(again), same, "left_semi").groupBy("doc_id", _text_hash().alias("_text")).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return docs.join(checked(again), same, "left_anti").unionByName(one.select("row.*"))
+
+
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: that with the smallest id."""
+    """One document of each group of linked ones: that with the smallest id; of rows that repeat id and text, one."""
     found = jaccard_join.jaccard_components(docs)
-    return _where_ids(docs, found.where("component_id < doc_id").select("doc_id"), "left_anti")
+    linked = checked(written(found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "ids"))
+    return _once(docs.join(linked, docs["doc_id"] == F.col("_gone"), "left_anti"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +73,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Language models, banded edit joins and a tokenizer are beyond SQL; tests check the stages by brute force.
+#: Language models, banded edit joins and a tokenizer are beyond SQL; tests/llm/test_pipeline.py checks the stages.
 ORACLE_SQL = None
 
 
