@@ -227,9 +227,9 @@ def _selected(spark, sf_dir, spec: str) -> DataFrame:
     return selection.select_pages(pages(spark, sf_dir), selection.parse(spec)).select("doc", "page_idx", "pos")
 
 
-@query(f"with {PAGES_SQL} select doc, page_idx, pos from pages join (values (0, 2), (1, 0), (2, 2), (3, 5)) as s(pos, page_idx) using (page_idx)".replace("select doc, page_idx, pos", "select doc, page_idx, cast(pos as bigint) as pos"))
+@query(f"with {PAGES_SQL} select doc, page_idx, pos from pages join (values (0, 2), (1, 0), (2, 2), (3, 3)) as s(pos, page_idx) using (page_idx)".replace("select doc, page_idx, pos", "select doc, page_idx, cast(pos as bigint) as pos"))
 def select_pages_list(spark, sf_dir):
-    return _selected(spark, sf_dir, "2,0,2,5")
+    return _selected(spark, sf_dir, "2,0,2,3")
 
 
 @query(f"with {PAGES_SQL} select doc, page_idx, (page_idx - 1) // 2 as pos from pages where page_idx >= 1 and page_idx < 10 and (page_idx - 1) % 2 = 0")
