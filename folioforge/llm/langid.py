@@ -168,7 +168,7 @@ _SCORERS: dict[str, Scorer] = {}
 def _scorer(model: Model) -> Scorer:
     """The worker's scorer of that model; its memo stays from task to task."""
     if model.key not in _SCORERS:
-        _SCORERS.clear()
+        _SCORERS.clear()  # an older model's memo goes with it
         _SCORERS[model.key] = Scorer(model)
     return _SCORERS[model.key]
 

@@ -1,33 +1,59 @@
 """Line deduplication within an edit distance: a segment-partition join in DataFrame functions alone.
 
-A line of length l is cut into threshold + 1 even segments. Of two lines within the threshold, the shorter has a
-segment that the longer holds at nearly the same place, so an index of (length, segment number, segment) probed
-with the few substrings that could match (multi-match-aware selection) meets every such pair. Only hashes of
-segments are shuffled, of distinct lines, with a signature of letter counts: it refuses, inside the join, nearly
-all pairs that share a segment but are too far apart, so that many variants of a line don't become as many
-pairs. Pairs left over are verified by a banded bit-parallel automaton.
-
-With percent, the threshold grows with the shorter line. Lengths of like thresholds form a class with segments of one
-size at fixed places, and a longer line is probed at the places where a segment may have moved to.
+A line is cut into threshold + 1 segments. Of two lines within the threshold, the shorter has a segment that the
+longer holds at nearly the same place, so an index of segments probed with the few substrings that could match
+(multi-match-aware, by length) meets every such pair. Only hashes of segments of distinct lines are shuffled.
+
+Two rules share that join. By characters: at most `threshold` edits, lines of any length; a signature of letter
+counts in the join refuses most pairs that share a segment but are too far apart. By words (`percent`): edits are
+of whole words, and as many are allowed as percent of the shorter line's words, rounded. Lengths of like
+thresholds form a class then, with segments of one size at fixed places, and a longer line is probed at the places where a
+segment may have moved to.
+
+A segment of more than MANY lines is not joined line by line. Its lines first meet the earliest line of each of
+PIVOTS parts, which settles those that have a near line among them; only what is left meets the others, in blocks.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.shared import checked, written
+from folioforge.llm.shared import SPACE_RUN, SPACES, checked, dropped, written
 
-#: Edit distance; characters from which on a line is compared by it (shorter ones only if equal).
-THRESHOLD, MIN_CHARS = 2, 24
-#: Characters of a piece that probed substrings are cut from, so that a long line isn't walked for each.
-PIECE = 256
-#: Edits from which on a class is probed at every place: the places where segments may lie then cover the line.
+#: Edit distance in characters.
+THRESHOLD = 2
+#: Bytes of a word in a line's code.
+WORD = 4
+#: Lines of a segment that are joined one by one at most; parts with a pivot each; lines of a block beyond.
+MANY, PIVOTS, BLOCK = 32, 8, 2048
+#: Word edits from which on a class is probed at every place: the places where segments may lie then cover the line.
 EVERYWHERE = 24
 #: Characters after the first difference that are compared before the rest.
 HEAD = 12
-#: Letters counted in the signature, five bits each in a long; and those that are counted for pairs beside them.
-LETTERS, OTHERS = "entairshoudl", ("bcfgjkmpqvwx", "yz ,.é")
+#: Pairs of lines that a task verifies.
+PAIRS = 20_000
+#: Letters counted in the signature, five bits each in a long; and those that are counted for pairs beside them (twelve at most).
+LETTERS, OTHERS = "entairsh", ("oudlbcfgjkmp", "qvwxyz ,.é", "0123456789")
+
+
+def character_code(line: Column) -> Column:
+    """A byte for each character, so that cutting needs no walk; beyond Latin-1 all are `?`. Equal lines have equal codes."""
+    latin = F.encode(F.regexp_replace(line, r"[^\x00-\xFF]", "?"), "ISO-8859-1")
+    return F.when(F.octet_length(line) == F.length(line), line.cast("binary")).otherwise(latin)
+
+
+def words(line: Column) -> Column:
+    """The line's words; none of a line of spaces alone."""
+    trimmed = F.btrim(line, F.lit(SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
+
+
+def word_code(line: Column) -> Column:
+    """WORD bytes of a hash for each word."""
+    return F.unhex(F.array_join(F.transform(words(line), lambda w: F.lpad(F.hex(F.hash(w).bitwiseAND(F.lit(0x7FFFFFFF))), 2 * WORD, "0")), ""))
 
 
 def segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
@@ -38,30 +64,30 @@ def segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
     return [((F.lit(i) * base + F.greatest(F.lit(0), F.lit(i) - short) + 1).cast("int"), (base + (F.lit(i) >= short).cast("int")).cast("int")) for i in range(parts)]
 
 
-def _key(line: Column, length: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(i), F.substring(line, start, size))
+def _key(code: Column, length: Column, i: int, start: Column, size: Column) -> Column:
+    return F.xxhash64(length.cast("int"), F.lit(i), F.substring(code, start, size))
 
 
-def index_keys(line: Column, threshold: int) -> Column:
-    n = F.length(line)
-    return F.array(*[_key(line, n, i, start, size) for i, (start, size) in enumerate(segments(n, threshold))])
+def index_keys(code: Column, threshold: int) -> Column:
+    n = F.octet_length(code)
+    return F.array(*[_key(code, n, i, start, size) for i, (start, size) in enumerate(segments(n, threshold))])
 
 
-def probe_keys(line: Column, threshold: int) -> Column:
+def probe_keys(code: Column, threshold: int) -> Column:
     """Keys of the substrings that may equal a segment of a line shorter by 0..threshold, with that difference."""
-    n = F.length(line)
+    n = F.octet_length(code)
     out = []
     for shorter in range(threshold + 1):
         for i, (start, size) in enumerate(segments(n - shorter, threshold)):
             # i edits at most lie before the segment, threshold - i behind it.
             low, high = max(-i, shorter - (threshold - i)), min(i, shorter + (threshold - i))
-            out += [F.struct(_key(line, n - shorter, i, start + shift, size).alias("k"), F.lit(shorter).alias("shorter")) for shift in range(low, high + 1)]
+            out += [F.struct(F.when(n >= shorter, _key(code, n - shorter, i, start + shift, size)).alias("k"), F.lit(shorter).alias("shorter")) for shift in range(low, high + 1)]
     return F.array(*out)
 
 
-def allowance(length: Column, threshold: int, percent: int) -> Column:
-    """Edits allowed when the shorter line has that length."""
-    return F.greatest(F.lit(threshold), F.floor(length * percent / 100).cast("int"))
+def allowance(length: Column, percent: int) -> Column:
+    """Words that may differ when the shorter line has that many: percent of them, rounded."""
+    return F.floor((2 * percent * length + 100) / 200).cast("int")
 
 
 def _class(t: Column) -> tuple[Column, Column]:
@@ -72,30 +98,28 @@ def _class(t: Column) -> tuple[Column, Column]:
 
 
 def _least(t: Column, percent: int) -> Column:
-    """The least length of which percent are t edits."""
-    return F.ceil(t * 100 / percent).cast("int")
+    """The least length to which t edits are allowed."""
+    return F.ceil((200 * t - 100) / (2 * percent)).cast("int")
 
 
-def _cut(line: Column, places: Column, size: Column, t: Column) -> Column:
-    """struct k, p for each place from 0: key of the substring of that size."""
-    pieces = F.transform(F.sequence(F.lit(0), F.floor(F.length(line) / PIECE).cast("int")), lambda i: F.substr(line, i * PIECE + 1, size + PIECE))
-    use = lambda x: F.transform(x["places"], lambda q: F.struct(F.xxhash64(t, F.substr(F.get(x["pieces"], F.floor(q / PIECE).cast("int")), q % PIECE + 1, size)).alias("k"), q.alias("p")))
-    return bound({"pieces": pieces, "places": places}, use)
+def _cut(code: Column, places: Column, size: Column, t: Column) -> Column:
+    """Key of the run of that many words at each place from 0."""
+    return F.transform(places, lambda q: F.xxhash64(t, F.substring(code, q * WORD + 1, size * WORD)))
 
 
-def class_index(line: Column, percent: int) -> Column:
+def class_index(code: Column, percent: int) -> Column:
     """Keys of the line's segments, one more than the class's last number of edits."""
 
     def keys(x: Column) -> Column:
         size = F.floor(_least(x["first"], percent) / (x["last"] + 1)).cast("int")
-        return bound({"last": x["last"], "size": size}, lambda y: _cut(line, F.transform(F.sequence(F.lit(0), y["last"]), lambda i: i * y["size"]), y["size"], y["last"]))
+        return bound({"last": x["last"], "size": size}, lambda y: _cut(code, F.transform(F.sequence(F.lit(0), y["last"]), lambda i: i * y["size"]), y["size"], y["last"]))
 
-    first, last = _class(F.floor(F.length(line) * percent / 100).cast("int"))
+    first, last = _class(allowance(F.octet_length(code) / WORD, percent))
     return bound({"first": first, "last": last}, keys)
 
 
-def class_probes(line: Column, threshold: int, percent: int) -> Column:
-    """Keys of the substrings that may equal a segment of a line no longer than this, whose percent is over threshold."""
+def class_probes(code: Column, percent: int) -> Column:
+    """Keys of the runs of words that may equal a segment of a line no longer than this."""
     none = F.array().cast("array<int>")
 
     def one(n: Column, first: Column, last: Column) -> Column:
@@ -112,17 +136,18 @@ def class_probes(line: Column, threshold: int, percent: int) -> Column:
 
             some = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), x["t"]), moved)))
             places = F.when(x["few"] > x["many"], none).when(x["t"] < EVERYWHERE, some).otherwise(F.sequence(F.lit(0), x["n"] - x["size"]))
-            return _cut(line, places, x["size"], x["t"])
+            return _cut(code, places, x["size"], x["t"])
 
         return bound({"n": n, "t": last, "few": few, "many": many, "size": size}, keys)
 
     def every(x: Column) -> Column:
-        # The shortest partner has n - most characters at least.
-        low = F.greatest(F.lit(threshold + 1), F.floor((x["n"] - x["most"]) * percent / 100).cast("int"))
+        # The shortest partner has n - most words at least.
+        low = F.greatest(F.lit(1), allowance(x["n"] - x["most"], percent))
         classes = F.array_distinct(F.transform(F.sequence(low, F.greatest(low, x["most"])), lambda t: F.struct(*[c.alias(k) for c, k in zip(_class(t), ("first", "last"))])))
         return F.when(low <= x["most"], F.flatten(F.transform(classes, lambda c: one(x["n"], c["first"], c["last"]))))
 
-    return bound({"n": F.length(line), "most": F.floor(F.length(line) * percent / 100).cast("int")}, every)
+    n = (F.octet_length(code) / WORD).cast("int")
+    return bound({"n": n, "most": allowance(n, percent)}, every)
 
 
 def bound(values: dict[str, Column], use) -> Column:
@@ -211,6 +236,25 @@ def within(a: Column, b: Column, threshold: int) -> Column:
     return bound({"x": trimmed(a, b)}, lambda x: decide(x["x"]))
 
 
+def within_words(a: Column, b: Column, percent: int) -> Column:
+    """Whether the lines differ in as many words as percent allows at most.
+
+    Words are numbered within the pair and each number spelt as one character, so that equal words alone are equal.
+    """
+
+    def decide(x: Column) -> Column:
+        tau = allowance(F.least(F.size(x["a"]), F.size(x["b"])), percent)
+        spelt = lambda own: F.decode(F.unhex(F.array_join(F.transform(own, lambda w: number(F.array_position(x["all"], w))), "")), "UTF-32")
+        number = lambda i: F.lpad(F.hex(F.when(i < 0xD700, i).otherwise(i + 0x900)), 8, "0")  # noqa: E731  past the surrogates
+        near = F.call_function("levenshtein", spelt(x["a"]), spelt(x["b"]), tau) >= 0
+        return F.when(F.abs(F.size(x["a"]) - F.size(x["b"])) > tau, False).otherwise(near)
+
+    def trim(x: Column) -> Column:
+        return bound({"a": x["a"], "b": x["b"], "all": F.array_distinct(F.concat(x["a"], x["b"]))}, decide)
+
+    return bound({"a": words(a), "b": words(b)}, trim)
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame | None = None) -> DataFrame:
     """(d, t, p, line) of every line with something in it: document id, hash of its text, place from 0.
 
@@ -236,12 +280,104 @@ def _named() -> list[Column]:
     return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), F.col("line")).alias("g")]
 
 
-def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
+@lru_cache
+def _counted(threshold: int) -> Column:
+    """Whether the letter counts of a and b allow the threshold. (Long expressions are built once.)"""
+    every = (LETTERS, *OTHERS)
+    counts = {f"{c}{i}": signature(F.col(c), letters) for c in "ab" for i, letters in enumerate(every)}
+    return bound(counts, lambda x: sum((apart(x[f"a{i}"], x[f"b{i}"], letters) for i, letters in enumerate(every)), F.lit(0))) <= 2 * threshold
+
+
+@lru_cache
+def _near(threshold: int, percent: int) -> Column:
+    a, b = F.col("a"), F.col("b")
+    return within_words(a, b, percent) if percent else within(a, b, threshold)
+
+
+@lru_cache
+def _alike(threshold: int, one: str, two: str) -> Column:
+    """Whether signatures allow the threshold."""
+    return apart(F.col(one), F.col(two)) <= 2 * threshold
+
+
+def _verified(pairs: DataFrame, fresh: DataFrame, threshold: int, percent: int) -> DataFrame:
+    """(h) of the lines that are near the earlier one of a pair (h, h2)."""
+    pairs = written(pairs.select(F.least("h", "h2").alias("h"), F.greatest("h", "h2").alias("h2")).distinct(), "line-pairs")
+    n = pairs.count()
+    if not n:
+        return pairs.select("h")
+    names = written(pairs.select("h").union(pairs.select("h2")).distinct(), "line-names")
+    texts = written(fresh.join(checked(names), "h", "left_semi").select("h", "line", "f"), "line-texts")
+    one = texts.select("h", F.col("line").alias("a"), F.col("f").alias("fa"))
+    two = texts.select(F.col("h").alias("h2"), F.col("line").alias("b"), F.col("f").alias("fb"))
+    both = pairs.join(one, "h").join(two, "h2")
+    if not percent:
+        both = both.where(_counted(threshold))
+    # Few bytes, much work for each: spread by number, which isn't coalesced.
+    tasks = max(docs_parallelism(fresh), -(-n // PAIRS))
+    both = both.repartition(tasks)
+    close = both.where(_near(threshold, percent))
+    late = written(close.select(F.when(F.col("fa") < F.col("fb"), F.col("h2")).otherwise(F.col("h")).alias("h")).distinct(), "line-late")
+    dropped(pairs, names, texts)
+    return late
+
+
+def docs_parallelism(df: DataFrame) -> int:
+    return 4 * df.sparkSession.sparkContext.defaultParallelism
+
+
+def _blocks(rows: DataFrame, per: DataFrame) -> DataFrame:
+    """rows (k, ...) with block, a part of about BLOCK lines of its segment; per: lines of each segment (k, c)."""
+    own = rows.join(checked(per.select(F.col("k").alias("_k"), "c")), F.col("k") == F.col("_k"))
+    return own.withColumn("block", F.pmod(F.xxhash64("h", F.lit(3)), F.ceil(F.col("c") / BLOCK)).cast("int")).drop("_k")
+
+
+def _crowded(rows: DataFrame, fresh: DataFrame, late: DataFrame, threshold: int, percent: int) -> list[DataFrame]:
+    """Late lines (h) among those of crowded segments (k, h), that late doesn't hold yet."""
+    names = written(rows.select("h").distinct(), "crowd-names")
+    places = fresh.join(checked(names), "h", "left_semi").select(F.col("h").alias("_h"), "f", *([] if percent else ["s"]))
+    crowd = written(rows.join(places, F.col("h") == F.col("_h")).drop("_h"), "crowd")
+    own = ["f", "h"] if percent else ["f", "h", "s"]
+    near = F.lit(True) if percent else _alike(threshold, "x.s", "y.s")
+    # The earliest pivot first: of lines that are near each other it settles nearly all, with one pair each.
+    pivots = crowd.groupBy("k", F.pmod(F.xxhash64("h", F.lit(2)), F.lit(PIVOTS)).alias("part")).agg(F.min(F.struct(*own)).alias("y"))
+    pivots = written(pivots.select("k", "y.*"), "line-pivots")
+    found = [late]
+
+    def waiting() -> DataFrame:
+        left = crowd
+        for x in found:
+            left = left.join(checked(x), "h", "left_anti")
+        return left
+
+    def met() -> DataFrame:
+        both = waiting().alias("x").join(checked(pivots).alias("y"), F.expr("x.k = y.k and y.f < x.f"))
+        return both.where(near).select(F.col("x.h").alias("h"), F.struct("y.f", "y.h").alias("e"))
+
+    found.append(_verified(met().groupBy("h").agg(F.min("e").alias("e")).select("h", F.col("e.h").alias("h2")), fresh, threshold, percent))
+    found.append(_verified(met().select("h", F.col("e.h").alias("h2")), fresh, threshold, percent))
+
+    left = written(waiting(), "crowd-left")
+    if left.limit(1).count():
+        # What has no near pivot: blocks of it against blocks of all its segment's lines, so no task holds a whole segment.
+        per = written(crowd.groupBy("k").agg(F.count("*").alias("c")), "crowd-sizes")
+        ask, all_of = _blocks(left, per).withColumnRenamed("block", "b1"), _blocks(crowd, per).withColumnRenamed("block", "b2")
+        parts = F.sequence(F.lit(0), (F.ceil(F.col("c") / BLOCK) - 1).cast("int"))
+        x, y = ask.withColumn("b2", F.explode(parts)).alias("x"), all_of.withColumn("b1", F.explode(parts)).alias("y")
+        both = x.join(y, F.expr("x.k = y.k and x.b1 = y.b1 and x.b2 = y.b2 and y.f < x.f")).where(near)
+        found.append(_verified(both.select(F.col("x.h").alias("h"), F.col("y.h").alias("h2")), fresh, threshold, percent))
+        dropped(per)
+    dropped(names, crowd, pivots, left)
+    return found[1:]
+
+
+def gone(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
     """(d, t, places): per document (id and hash of text) the places of lines to remove.
 
-    A line goes if one that comes before it is equal, or within threshold edits (or, if that is more, percent of
-    the shorter line's characters) and both have min_chars or more. Lines are in order of document id (null last),
-    hash of the text, place; all are judged on the input.
+    A line goes if one that comes before it is equal or near. Near is, without percent, within threshold edits of
+    characters, whatever their length; with percent, within that share of the shorter line's words (rounded, so
+    fewer than 10 words must be equal at 5 percent), spaces between words not counted. Lines are in order of document id (null last), hash of the
+    text, place; all are judged on the input.
     """
     if not 0 <= percent <= 50:
         raise ValueError(f"percent must lie between 0 and 50, not {percent}")
@@ -249,47 +385,51 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS
     first = occurrences.groupBy("h", "g").agg(F.min(_order(F.col("d"))).alias("first"))
     again = occurrences.join(first, ["h", "g"]).where(F.col("first") < _order(F.col("d")))
     again = written(again.groupBy("d", "t").agg(F.collect_set("p").alias("places")), "again")
+    dropped(occurrences)
 
     # What is left has every line once, where it first stands.
-    fresh = _lines(docs, id_col, text_col, again).where(F.length("line") >= min_chars)
-    fresh = written(fresh.select(F.xxhash64("line").alias("h"), "line", signature(F.col("line")).alias("s"), _order(F.col("d")).alias("f")), "fresh")
-    index = fresh.select("h", "s", F.explode(index_keys(F.col("line"), threshold)).alias("k"))
-    probes = fresh.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.explode(probe_keys(F.col("line"), threshold)).alias("x")).select("h2", "s2", "x.k", "x.shorter")
-    # Of lines of one length, either may be the indexed one.
-    near = (index["k"] == probes["k"]) & (F.col("h") != F.col("h2")) & ((F.col("shorter") > 0) | (F.col("h") < F.col("h2"))) & (apart(F.col("s"), F.col("s2")) <= 2 * threshold)
-    met = index.join(probes, near).select("h", "h2")
+    line = F.col("line")
+    fresh = _lines(docs, id_col, text_col, again).select(F.xxhash64("line").alias("h"), "line", (word_code(line) if percent else character_code(line)).alias("code"), *([] if percent else [signature(line).alias("s")]), _order(F.col("d")).alias("f"))
+    fresh = written(fresh, "fresh")
+    code = F.col("code")
     if percent:
-        own = fresh.select("h", "s", F.length("line").alias("n"), "line")
-        index = own.where(F.floor(F.col("n") * percent / 100) > threshold).select("h", "s", "n", F.explode(class_index(F.col("line"), percent)).alias("x")).select("h", "s", "n", "x.k", "x.p")
-        probes = own.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.col("n").alias("n2"), F.explode(class_probes(F.col("line"), threshold, percent)).alias("x")).select("h2", "s2", "n2", F.col("x.k").alias("k2"), F.col("x.p").alias("p2"))
-        tau = allowance(F.col("n"), threshold, percent)
-        near = (F.col("k") == F.col("k2")) & (F.col("h") != F.col("h2")) & ((F.col("n") < F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("h") < F.col("h2")))
-        near = near & (F.col("n2") - F.col("n") <= tau) & (F.abs(F.col("p2") - F.col("p")) <= tau) & (apart(F.col("s"), F.col("s2")) <= 2 * tau)
-        met = met.unionByName(index.join(probes, near).select("h", "h2"))
-    pairs = written(met.distinct(), "line-pairs")
-
-    names = checked(written(pairs.select("h").union(pairs.select("h2")).distinct(), "line-names"))
-    texts = written(fresh.join(names, "h", "left_semi").select("h", "line", "f"), "line-texts")
-    one = texts.select("h", F.col("line").alias("a"), F.col("f").alias("fa"))
-    two = texts.select(F.col("h").alias("h2"), F.col("line").alias("b"), F.col("f").alias("fb"))
-    both = pairs.join(one, "h").join(two, "h2")
-    every = (LETTERS, *OTHERS)
-    counts = {f"{c}{i}": signature(F.col(c), letters) for c in "ab" for i, letters in enumerate(every)}
-    low = bound(counts, lambda x: sum((apart(x[f"a{i}"], x[f"b{i}"], letters) for i, letters in enumerate(every)), F.lit(0)))
-    # Few bytes, much work for each: spread by number, which isn't coalesced.
-    tau = allowance(F.least(F.length("a"), F.length("b")), threshold, percent)
-    both = both.where(low <= 2 * tau).repartition(4 * docs.sparkSession.sparkContext.defaultParallelism)
-    fits = F.call_function("levenshtein", F.col("a"), F.col("b"), tau) >= 0
-    close = both.where(F.when(tau > threshold, fits).otherwise(within(F.col("a"), F.col("b"), threshold)) if percent else within(F.col("a"), F.col("b"), threshold))
-    late = close.select(F.greatest("fa", "fb").alias("f"), F.least("fa", "fb").alias("e")).where("e < f").select("f.d", "f.t", "f.p")
-
-    every_place = again.select("d", "t", F.explode("places").alias("p")).unionByName(late)
-    return written(every_place.groupBy("d", "t").agg(F.collect_set("p").alias("places")), "line-places")
+        some = fresh.where(allowance(F.octet_length("code") / WORD, percent) > 0)
+        index = some.select("h", F.explode(class_index(code, percent)).alias("k"))
+        probes = some.select(F.col("h").alias("h2"), F.explode(class_probes(code, percent)).alias("k2"))
+        near = F.col("h") != F.col("h2")
+    else:
+        index = fresh.select("h", "s", F.explode(index_keys(code, threshold)).alias("k"))
+        probes = fresh.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.explode(probe_keys(code, threshold)).alias("x")).select("h2", "s2", F.col("x.k").alias("k2"), "x.shorter")
+        # Of lines of one length, either may be the indexed one.
+        near = (F.col("h") != F.col("h2")) & ((F.col("shorter") > 0) | (F.col("h") < F.col("h2"))) & _alike(threshold, "s", "s2")
+    crowded = written(index.groupBy("k").agg(F.count("*").alias("c")).where(F.col("c") > MANY).select("k"), "crowded")
+    some_crowded = crowded.limit(1).count() > 0
+    if some_crowded:  # such a segment meets its probes once, with no line named
+        rare = index.join(checked(crowded), "k", "left_anti")
+        index = rare.unionByName(crowded.select("k"), allowMissingColumns=True)
+        near = F.col("h").isNull() | near
+    met = written(index.join(probes, (F.col("k") == F.col("k2")) & near).select("h", "h2", F.when(F.col("h").isNull(), F.col("k")).alias("k")), "line-met")
+    late = [_verified(met.where("h is not null").select("h", "h2"), fresh, threshold, percent)]
+    if some_crowded:
+        rows = fresh.select("h", F.explode(class_index(code, percent) if percent else index_keys(code, threshold)).alias("k"))
+        rows = rows.join(checked(crowded), "k", "left_semi").unionByName(met.where("h is null").select(F.col("h2").alias("h"), "k"))
+        rows = written(rows.distinct(), "crowd-rows")
+        late += _crowded(rows, fresh, late[0], threshold, percent)
+        dropped(rows)
+    names = late[0]
+    for x in late[1:]:
+        names = names.union(x)
+    lines = fresh.join(checked(names.distinct()), "h", "left_semi").select("f.d", "f.t", "f.p")
+
+    every_place = again.select("d", "t", F.explode("places").alias("p")).unionByName(lines)
+    out = written(every_place.groupBy("d", "t").agg(F.collect_set("p").alias("places")), "line-places")
+    dropped(again, fresh, crowded, met)
+    return out
 
 
-def _marked(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, Column, Column, Column]:
+def _marked(docs: DataFrame, threshold: int, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, Column, Column, Column]:
     """(docs with the places joined, all lines, kept lines, number of removed ones)."""
-    own = checked(gone(docs, threshold, min_chars, id_col, text_col, percent))
+    own = checked(gone(docs, threshold, id_col, text_col, percent))
     text, places = F.coalesce(docs[text_col], F.lit("")), own["places"]
     rows = docs.join(own, docs[id_col].eqNullSafe(own["d"]) & (F.xxhash64(text) == own["t"]), "left")
     lines = F.split(text, "\n", -1)
@@ -297,22 +437,22 @@ def _marked(docs: DataFrame, threshold: int, min_chars: int, id_col: str, text_c
     return rows, lines, kept, F.coalesce(F.size(places), F.lit(0)).cast("long")
 
 
-def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
+def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_removed, kept_sha256 (of the kept lines joined by line feeds).
 
     Lines are what line feeds separate; blank ones stay and are never compared. Null texts count as empty (one
     blank line). Rows that repeat id and text are one document and keep the same lines; null ids come last.
     Other columns are ignored; an empty input gives an empty result. See gone() for what goes.
     """
-    rows, lines, kept, n = _marked(docs, threshold, min_chars, id_col, text_col, percent)
+    rows, lines, kept, n = _marked(docs, threshold, id_col, text_col, percent)
     return rows.select(
         docs[id_col].alias("doc_id"), F.size(lines).cast("long").alias("n_lines"), n.alias("n_removed"),
         F.sha2(F.array_join(kept, "\n").cast("binary"), 256).alias("kept_sha256"),
     )
 
 
-def without_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
+def without_lines(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
     """The input's rows and columns with the kept lines as text; null texts stay null."""
-    rows, _, kept, _ = _marked(docs, threshold, min_chars, id_col, text_col, percent)
+    rows, _, kept, _ = _marked(docs, threshold, id_col, text_col, percent)
     new = F.when(docs[text_col].isNotNull(), F.array_join(kept, "\n"))
     return rows.select(*[new.alias(c) if c == text_col else docs[c] for c in docs.columns])

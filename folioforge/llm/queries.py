@@ -122,7 +122,7 @@ SQL = {
             from lines where trim(line) <> '' group by line),
         late as (
             select distinct a.f from firsts a, range(-2, 3) as r(d) join firsts b on b.n = a.n + d
-            where b.f < a.f and a.n >= 24 and b.n >= 24
+            where b.f < a.f
               and {" and ".join(f"abs(a.c[{i}] - b.c[{i}]) <= 2" for i in range(1, 10))}
               and levenshtein(a.code, b.code) <= 2),
         marked as (

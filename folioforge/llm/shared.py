@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,12 +23,15 @@ BROADCAST_ROWS = 300_000
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder's URI below spark.checkpoint.dir, which every executor sees.
 
-    Only where that setting is absent (tests, one machine) a temporary folder is set and used.
+    Only where that setting is absent and the master is local (tests, one machine), a temporary folder is set and used.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("folioforge.shared.dir", None)
         if not root:
+            master = spark.sparkContext.master
+            if master.partition("[")[0] != "local":
+                raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
             root = "file://" + tempfile.mkdtemp(prefix="folioforge-")
             spark.conf.set("folioforge.shared.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -36,7 +42,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the folders of tables that written() gave and that nothing will read again."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checked(side: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -63,10 +78,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def batches(it: Iterator[pa.RecordBatch], most_bytes: int = 32 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of bounded bytes (single longer rows pass alone)."""
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def batches(it: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of bounded bytes (single longer rows pass alone).
+
+    At the end, freed memory goes back to the system: workers are reused by other operators' tasks.
+    """
     for b in it:
         parts = max(1, -(-b.nbytes // most_bytes))
         step = max(1, b.num_rows // parts)
         for at in range(0, b.num_rows, step):
             yield b.slice(at, step)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    _trim()(0)

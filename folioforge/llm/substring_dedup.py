@@ -22,7 +22,7 @@ from folioforge.llm.shared import batches, checked, written
 
 WINDOW, ANCHOR = 50, 30
 #: Bytes of text in a numpy batch.
-BATCH = 8 << 20
+BATCH = 4 << 20
 
 
 def _texts(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:

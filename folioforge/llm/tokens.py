@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from folioforge.llm.words import ENTRY, MEMO, hold
+
 #: The split pattern that allows the short way, and the normalizers that go with it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -21,8 +23,6 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 #: separators on which libraries differ, a capital that lower-cases to two characters, marks of special tokens.
 LATIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zªµºß-öø-ÿĀ-ſ]+|[0-9²³¹¼½¾]|[^\t\n\v\f\r \x85\xa0a-zªµºß-öø-ÿĀ-ſ0-9²³¹¼½¾]+")
 OTHER = re.compile(r"[\x1c-\x1fİƀ-\U0010ffff]|<\|")
-#: Entries at most in each memo; a full one is emptied.
-MEMO = 1_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -34,14 +34,21 @@ def byte_letters() -> dict[int, str]:
 
 
 class _Memo(dict):
+    """Values made once, of at most half of MEMO bytes as estimated."""
+
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.bytes = make, 0
+
+    def empty(self):
+        self.clear()
+        self.bytes = 0
 
     def __missing__(self, key):
-        if len(self) >= MEMO:
-            self.clear()
+        if self.bytes > MEMO // 2:
+            self.empty()
         value = self[key] = self.make(key)
+        self.bytes += len(key) + len(value) + ENTRY
         return value
 
 
@@ -64,7 +71,12 @@ class Encoder:
         piece = self.pieces.__getitem__
         self.words = _Memo(lambda w: b"".join(map(piece, LATIN.findall(w.lower()))))
 
+    def empty(self) -> None:
+        self.words.empty()
+        self.pieces.empty()
+
     def encode(self, text: str) -> bytes:
+        hold(self)
         if self.short and not OTHER.search(text):
             return b"".join(map(self.words.__getitem__, text.split()))
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -6,8 +6,17 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Distinct words that a worker remembers; beyond it the memo starts anew.
-MEMO = 400_000
+#: Bytes (as estimated) that a worker's memo may take; beyond it the memo starts anew. Bytes of an entry besides its key.
+MEMO, ENTRY = 48 << 20, 200
+_HOLDER: list = []
+
+
+def hold(memo) -> None:
+    """Makes memo the one that this worker keeps; another operator's, left by an earlier task, is emptied."""
+    if not _HOLDER or _HOLDER[0] is not memo:
+        for other in _HOLDER:
+            other.empty()
+        _HOLDER[:] = [memo]
 
 
 class WordRows:
@@ -19,15 +28,17 @@ class WordRows:
 
     def __init__(self, make: Callable[[list], np.ndarray], width: int, dtype=np.float32):
         self.make, self.width, self.dtype = make, width, dtype
-        self._empty()
+        self.empty()
 
-    def _empty(self) -> None:
+    def empty(self) -> None:
         self.seen: dict = {}
+        self.bytes = 0
         self.table = np.zeros((1024, self.width), self.dtype)
 
     def rows(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.seen) > MEMO:
-            self._empty()
+        hold(self)
+        if self.bytes > MEMO:
+            self.empty()
         seen, known = self.seen, len(self.seen)
         split = [t.split() for t in texts]
         counts = np.fromiter(map(len, split), np.int64, len(split))
@@ -40,6 +51,7 @@ class WordRows:
                 more[:known] = self.table[:known]
                 self.table = more
             self.table[known : len(seen)] = self.make(fresh)
+            self.bytes += sum(map(len, fresh)) + len(fresh) * (ENTRY + self.table.itemsize * self.width)
         return flat, counts
 
     def sums(self, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:

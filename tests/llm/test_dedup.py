@@ -134,10 +134,14 @@ def test_edit_automaton(spark, threshold):
     assert all(x.w == (distance(x.a, x.b) <= threshold) for x in got)
 
 
-def test_lines(spark):
+@pytest.mark.parametrize("many, pivots, block", [(32, 8, 2048), (2, 1, 3)])
+def test_lines(spark, monkeypatch, many, pivots, block):
+    monkeypatch.setattr(line_dedup, "MANY", many)
+    monkeypatch.setattr(line_dedup, "PIVOTS", pivots)
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
     r = random.Random(5)
     bases = ["".join(r.choice("abcdefé  ") for _ in range(r.randrange(24, 60))) for _ in range(12)]
-    rows = [(900, None), (901, ""), (902, "\n\n"), (903, "short\nshort"), (904, "shart\n  \n  "), (None, bases[0]), (None, "only here, with a null id")]
+    rows = [(900, None), (901, ""), (902, "\n\n"), (903, "short\nshort"), (904, "shart\n  \n  "), (905, "a\nb\nabc\nabcd\nαβγ δεζ ηθι\nαβγ δεζ ηθκ\nαβγ xyz ηθκ"), (906, "1.\n2.\n17"), (907, "12345\n1234567\nqwertz uiop"), (None, bases[0]), (None, "only here, with a null id")]
     for i in range(70):
         rows.append((i, "\n".join(edited(r, r.choice(bases), r.choice((0, 0, 1, 2, 3, 5))) if r.random() < 0.7 else r.choice(("", "tiny", "x" * 30)) for _ in range(r.randrange(1, 6)))))
     rows += [rows[-1], (3, "another text of a repeated id")]
@@ -146,7 +150,7 @@ def test_lines(spark):
     lines = sorted(((i is None, i or 0, hashes[t], p, line) for i, t in own for p, line in enumerate(t.split("\n")) if line.strip(" ")), key=lambda x: x[:4])
     want = {}
     for n, (z, i, h, p, line) in enumerate(lines):
-        if any(a[:4] < lines[n][:4] and (a[4] == line or min(len(a[4]), len(line)) >= 24 and abs(len(a[4]) - len(line)) <= 2 and distance(a[4], line) <= 2) for a in lines[:n]):
+        if any(a[:4] < lines[n][:4] and (a[4] == line or abs(len(a[4]) - len(line)) <= 2 and distance(a[4], line) <= 2) for a in lines[:n]):
             want.setdefault((None if z else i, h), set()).add(p)
     expected = []
     for i, t in rows:
@@ -160,29 +164,39 @@ def test_lines(spark):
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("percent", [5, 12, 50])
-def test_lines_threshold_grows(spark, percent):
-    """A changed word in a long line is more than two edits: the allowance is a share of the shorter line."""
+@pytest.mark.parametrize("percent, many", [(5, 32), (12, 2), (50, 32)])
+def test_lines_by_words(spark, monkeypatch, percent, many):
+    """With percent, as many words may differ as that share of the shorter line's, rounded."""
+    monkeypatch.setattr(line_dedup, "MANY", many)
+    monkeypatch.setattr(line_dedup, "PIVOTS", 1)
+    monkeypatch.setattr(line_dedup, "BLOCK", 5)
     r = random.Random(percent)
-    bases = ["".join(r.choice("abcdefé  ") for _ in range(n)) for n in (24, 40, 59, 60, 61, 120, 255, 300, 620)] + ["x" * 270]
+    word = lambda: "".join(r.choice("abcdefé") for _ in range(r.randrange(1, 5)))
+    bases = [[word() for _ in range(n)] for n in (1, 3, 9, 10, 12, 29, 30, 31, 60, 130, 270)] + [["x"] * 70]
     rows = []
-    for i in range(90):
-        base = r.choice(bases)
-        rows.append((i, edited(r, base, r.randrange(0, 3 + len(base) * min(percent, 15) // 80))))
-    rows += [(100, "\n".join((bases[5], bases[5][:50] + "edanon" + bases[5][56:]))), (None, bases[6])]
+    for i in range(110):
+        own = list(r.choice(bases))
+        for _ in range(r.randrange(0, 3 + len(own) * min(percent, 15) // 80)):
+            at = r.randrange(len(own) + 1)
+            kind = r.random()
+            own[at : at + (kind < 0.66)] = [] if kind < 0.33 else [word()]
+        rows.append((i, r.choice((" ", " ", "  ", "\t")).join(own)))
+    changed = bases[4][:5] + ["edanon"] + bases[4][6:]
+    rows += [(200, "\n".join((" ".join(bases[4]), " ".join(changed)))), (None, " ".join(bases[6])), (201, "\t"), (202, "\t")]
     lines = [(i, p, line) for i, t in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)) for p, line in enumerate(t.split("\n")) if line.strip(" ")]
     want = {}
     for n, (i, p, line) in enumerate(lines):
+        own = split(line)
         for _, _, b in lines[:n]:
-            short = min(len(b), len(line))
-            most = max(2, short * percent // 100)
-            if b == line or short >= 24 and abs(len(b) - len(line)) <= most and distance(b, line) <= most:
+            other = split(b)
+            most = (2 * percent * min(len(own), len(other)) + 100) // 200
+            if b == line or most and abs(len(own) - len(other)) <= most and distance(own, other) <= most:
                 want.setdefault(i, set()).add(p)
                 break
     got = line_dedup.without_lines(frame(spark, rows), percent=percent)
     kept = {i: "\n".join(x for p, x in enumerate(t.split("\n")) if p not in want.get(i, ())) for i, t in rows}
     assert {x.doc_id: x.text for x in got.collect()} == kept
-    assert 1 in want[100]
+    assert 1 in want[200]
 
 
 def linked(rows, percent=80):
