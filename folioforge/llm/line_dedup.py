@@ -37,6 +37,8 @@ HEAD = 12
 PAIRS = 20_000
 #: Letters counted in the signature, five bits each in a long; and those that are counted for pairs beside them (twelve at most).
 LETTERS, OTHERS = "entairsh", ("oudlbcfgjkmp", "qvwxyz ,.é", "0123456789")
+#: Last hex digits of the word hashes that are counted.
+DIGITS = "0123456789AB"
 
 
 def character_code(line: Column) -> Column:
@@ -53,7 +55,7 @@ def words(line: Column) -> Column:
 
 def word_code(line: Column) -> Column:
     """WORD bytes of a hash for each word."""
-    return F.unhex(F.array_join(F.transform(words(line), lambda w: F.lpad(F.hex(F.hash(w).bitwiseAND(F.lit(0x7FFFFFFF))), 2 * WORD, "0")), ""))
+    return F.unhex(F.array_join(F.transform(words(line), lambda w: F.lpad(F.hex(F.xxhash64(w).bitwiseAND(F.lit(0xFFFF7FFF))), 2 * WORD, "0")), ""))
 
 
 def segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
@@ -236,23 +238,65 @@ def within(a: Column, b: Column, threshold: int) -> Column:
     return bound({"x": trimmed(a, b)}, lambda x: decide(x["x"]))
 
 
+def word_letters(code: Column) -> Column:
+    """A character for each word (15 bits of its hash): edits between these are never more than between the words."""
+    return F.decode(F.unhex(F.regexp_replace(F.hex(code), ".{4}(.{4})", "$1")), "UTF-16BE")
+
+
+def word_signature(code: Column) -> Column:
+    """A long with the counts, modulo 32, of words by the last hex digit of their hash, for twelve of the sixteen."""
+    return signature(F.regexp_replace(F.hex(code), f".{{{2 * WORD - 1}}}(.)", "$1"), DIGITS)
+
+
+def _run(code: Column, first: Column, n: Column) -> Column:
+    """That many words of a code, from a place from 0."""
+    return F.substring(code, first * WORD + 1, n * WORD)
+
+
+def trimmed_words(a: Column, b: Column) -> Column:
+    """struct a, b: codes without the words that they begin and end with alike."""
+    steps = F.array(*[F.lit(1 << i) for i in range(20, -1, -1)])
+    longest = lambda same: F.aggregate(steps, F.lit(0), lambda n, s: F.when(same(n, s), n + s).otherwise(n))
+    size = lambda c: (F.octet_length(c) / WORD).cast("int")
+
+    def front(x: Column) -> Column:
+        n = longest(lambda n, s: (n + s <= F.least(size(x["a"]), size(x["b"]))) & (_run(x["a"], n, s) == _run(x["b"], n, s)))
+        return bound({"n": n, "a": x["a"], "b": x["b"]}, lambda y: F.struct(*[_run(y[c], y["n"], size(y[c]) - y["n"]).alias(c) for c in "ab"]))
+
+    def back(x: Column) -> Column:
+        tail = lambda c, n, s: _run(c, size(c) - n - s, s)
+        n = longest(lambda n, s: (n + s <= F.least(size(x["a"]), size(x["b"]))) & (tail(x["a"], n, s) == tail(x["b"], n, s)))
+        return bound({"n": n, "a": x["a"], "b": x["b"]}, lambda y: F.struct(*[_run(y[c], F.lit(0), size(y[c]) - y["n"]).alias(c) for c in "ab"]))
+
+    return bound({"x": bound({"a": a, "b": b}, front)}, lambda x: back(x["x"]))
+
+
 def within_words(a: Column, b: Column, percent: int) -> Column:
-    """Whether the lines differ in as many words as percent allows at most.
+    """Whether lines with these codes differ in as many words as percent allows at most.
 
-    Words are numbered within the pair and each number spelt as one character, so that equal words alone are equal.
+    Only what lies between the first and the last difference is compared. Its words are numbered within the pair and
+    each number spelt as one character, so that equal words alone are equal.
     """
+    none = F.array().cast("array<binary>")
 
-    def decide(x: Column) -> Column:
-        tau = allowance(F.least(F.size(x["a"]), F.size(x["b"])), percent)
-        spelt = lambda own: F.decode(F.unhex(F.array_join(F.transform(own, lambda w: number(F.array_position(x["all"], w))), "")), "UTF-32")
+    def own(c: Column) -> Column:
+        n = (F.octet_length(c) / WORD).cast("int")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: _run(c, i, F.lit(1)))).otherwise(none)
+
+    def spelt(x: Column, c: str) -> Column:
         number = lambda i: F.lpad(F.hex(F.when(i < 0xD700, i).otherwise(i + 0x900)), 8, "0")  # noqa: E731  past the surrogates
-        near = F.call_function("levenshtein", spelt(x["a"]), spelt(x["b"]), tau) >= 0
-        return F.when(F.abs(F.size(x["a"]) - F.size(x["b"])) > tau, False).otherwise(near)
+        return F.decode(F.unhex(F.array_join(F.transform(x[c], lambda w: number(F.array_position(x["all"], w))), "")), "UTF-32")
+
+    def decide(x: Column) -> Column:
+        # Beyond a million different words a pair would run out of characters; such parts are far apart.
+        far = (F.abs(F.size(x["a"]) - F.size(x["b"])) > x["tau"]) | (F.size(x["all"]) > 1_000_000)
+        return F.when(far, False).otherwise(F.call_function("levenshtein", spelt(x, "a"), spelt(x, "b"), x["tau"]) >= 0)
 
-    def trim(x: Column) -> Column:
-        return bound({"a": x["a"], "b": x["b"], "all": F.array_distinct(F.concat(x["a"], x["b"]))}, decide)
+    def compare(x: Column) -> Column:
+        return bound({"tau": x["tau"], "a": own(x["x"]["a"]), "b": own(x["x"]["b"])}, lambda y: bound({"tau": y["tau"], "a": y["a"], "b": y["b"], "all": F.array_distinct(F.concat(y["a"], y["b"]))}, decide))
 
-    return bound({"a": words(a), "b": words(b)}, trim)
+    tau = allowance(F.least(F.octet_length(a), F.octet_length(b)) / WORD, percent)
+    return bound({"tau": tau, "x": trimmed_words(a, b)}, compare)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame | None = None) -> DataFrame:
@@ -291,15 +335,26 @@ def _counted(threshold: int) -> Column:
 @lru_cache
 def _near(threshold: int, percent: int) -> Column:
     a, b = F.col("a"), F.col("b")
-    return within_words(a, b, percent) if percent else within(a, b, threshold)
+    if not percent:
+        return within(a, b, threshold)
+    tau = allowance(F.least(F.octet_length(a), F.octet_length(b)) / WORD, percent)
+    return F.when(F.call_function("levenshtein", F.col("la"), F.col("lb"), tau) < 0, False).otherwise(within_words(a, b, percent))
 
 
 @lru_cache
 def _alike(threshold: int, one: str, two: str) -> Column:
-    """Whether signatures allow the threshold."""
+    """Whether signatures allow the threshold of character edits."""
     return apart(F.col(one), F.col(two)) <= 2 * threshold
 
 
+@lru_cache
+def _alike_words(percent: int, dot: str) -> Column:
+    """Whether lengths in bytes (na, nb) and signatures (sa, sb) allow percent of the words to differ."""
+    na, nb, sa, sb = [F.col(f"{'xy'[i]}.{c}" if dot else f"{c}{'ab'[i]}") for c in "ns" for i in range(2)]
+    tau = allowance(F.least(na, nb) / WORD, percent)
+    return (F.abs(na - nb) <= WORD * tau) & (apart(sa, sb, DIGITS) <= 2 * tau)
+
+
 def _verified(pairs: DataFrame, fresh: DataFrame, threshold: int, percent: int) -> DataFrame:
     """(h) of the lines that are near the earlier one of a pair (h, h2)."""
     pairs = written(pairs.select(F.least("h", "h2").alias("h"), F.greatest("h", "h2").alias("h2")).distinct(), "line-pairs")
@@ -307,9 +362,16 @@ def _verified(pairs: DataFrame, fresh: DataFrame, threshold: int, percent: int)
     if not n:
         return pairs.select("h")
     names = written(pairs.select("h").union(pairs.select("h2")).distinct(), "line-names")
-    texts = written(fresh.join(checked(names), "h", "left_semi").select("h", "line", "f"), "line-texts")
-    one = texts.select("h", F.col("line").alias("a"), F.col("f").alias("fa"))
-    two = texts.select(F.col("h").alias("h2"), F.col("line").alias("b"), F.col("f").alias("fb"))
+    texts = held = written(fresh.join(checked(names), "h", "left_semi"), "line-texts")
+    if percent:  # counts refuse most pairs before their codes move
+        some = pairs.join(texts.select("h", F.col("s").alias("sa"), F.octet_length("code").alias("na")), "h")
+        some = some.join(texts.select(F.col("h").alias("h2"), F.col("s").alias("sb"), F.octet_length("code").alias("nb")), "h2")
+        some = written(some.where(_alike_words(percent, "")).select("h", "h2"), "line-pairs")
+        dropped(pairs)
+        pairs, n = some, some.count()
+        texts = texts.withColumn("letters", word_letters(F.col("code")))
+    one = texts.select("h", F.col("f").alias("fa"), *([F.col("code").alias("a"), F.col("letters").alias("la")] if percent else [F.col("line").alias("a")]))
+    two = texts.select(F.col("h").alias("h2"), F.col("f").alias("fb"), *([F.col("code").alias("b"), F.col("letters").alias("lb")] if percent else [F.col("line").alias("b")]))
     both = pairs.join(one, "h").join(two, "h2")
     if not percent:
         both = both.where(_counted(threshold))
@@ -317,8 +379,9 @@ def _verified(pairs: DataFrame, fresh: DataFrame, threshold: int, percent: int)
     tasks = max(docs_parallelism(fresh), -(-n // PAIRS))
     both = both.repartition(tasks)
     close = both.where(_near(threshold, percent))
-    late = written(close.select(F.when(F.col("fa") < F.col("fb"), F.col("h2")).otherwise(F.col("h")).alias("h")).distinct(), "line-late")
-    dropped(pairs, names, texts)
+    late = close.select(F.when(F.col("fa") < F.col("fb"), F.col("h2")).otherwise(F.col("h")).alias("h")).distinct()
+    late = written(late, "line-late")
+    dropped(pairs, names, held)
     return late
 
 
@@ -335,10 +398,10 @@ def _blocks(rows: DataFrame, per: DataFrame) -> DataFrame:
 def _crowded(rows: DataFrame, fresh: DataFrame, late: DataFrame, threshold: int, percent: int) -> list[DataFrame]:
     """Late lines (h) among those of crowded segments (k, h), that late doesn't hold yet."""
     names = written(rows.select("h").distinct(), "crowd-names")
-    places = fresh.join(checked(names), "h", "left_semi").select(F.col("h").alias("_h"), "f", *([] if percent else ["s"]))
+    places = fresh.join(checked(names), "h", "left_semi").select(F.col("h").alias("_h"), "f", "s", F.octet_length("code" if percent else "line").alias("n"))
     crowd = written(rows.join(places, F.col("h") == F.col("_h")).drop("_h"), "crowd")
-    own = ["f", "h"] if percent else ["f", "h", "s"]
-    near = F.lit(True) if percent else _alike(threshold, "x.s", "y.s")
+    own = ["f", "h", "s", "n"]
+    near = _alike_words(percent, ".") if percent else _alike(threshold, "x.s", "y.s")
     # The earliest pivot first: of lines that are near each other it settles nearly all, with one pair each.
     pivots = crowd.groupBy("k", F.pmod(F.xxhash64("h", F.lit(2)), F.lit(PIVOTS)).alias("part")).agg(F.min(F.struct(*own)).alias("y"))
     pivots = written(pivots.select("k", "y.*"), "line-pivots")
@@ -389,9 +452,13 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", te
 
     # What is left has every line once, where it first stands.
     line = F.col("line")
-    fresh = _lines(docs, id_col, text_col, again).select(F.xxhash64("line").alias("h"), "line", (word_code(line) if percent else character_code(line)).alias("code"), *([] if percent else [signature(line).alias("s")]), _order(F.col("d")).alias("f"))
+    fresh = _lines(docs, id_col, text_col, again)
+    if percent:
+        fresh = fresh.select(F.xxhash64("line").alias("h"), word_code(line).alias("code"), _order(F.col("d")).alias("f")).withColumn("s", word_signature(F.col("code")))
+    else:
+        fresh = fresh.select(F.xxhash64("line").alias("h"), "line", signature(line).alias("s"), _order(F.col("d")).alias("f"))
     fresh = written(fresh, "fresh")
-    code = F.col("code")
+    code = F.col("code") if percent else character_code(line)
     if percent:
         some = fresh.where(allowance(F.octet_length("code") / WORD, percent) > 0)
         index = some.select("h", F.explode(class_index(code, percent)).alias("k"))

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,8 +245,31 @@ def test_jaccard_id_with_several_texts(spark, monkeypatch, block):
     text = lambda c, last="": " ".join(f"{c}{i}" for i in range(30)) + last
     rows = [(1, text("a")), (2, text("b")), (5, text("a", " x")), (5, text("b", " y")), (5, text("b", " y"))]
     rows += [(11, text("c")), (12, text("d")), (13, text("c")), (13, text("d", " z")), (13, text("alone"))]
+    # Each of an id's texts has its links, also where another of its texts is a copy.
+    rows += [(21, text("e")), (21, text("f")), (22, text("e", " x")), (23, text("f", " x")), (30, text("g")), (31, text("g")), (31, text("h")), (33, text("h", " x"))]
     got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
-    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, 1 if i < 10 else 11) for i, _ in rows)
+    least = {1: 1, 2: 1, 5: 1, 11: 11, 12: 11, 13: 11, 21: 21, 22: 21, 23: 21, 30: 30, 31: 30, 33: 30}
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, least[i]) for i, _ in rows)
+
+
+def test_connect_takes_known_links():
+    sets = [np.arange(a, a + 20, dtype=np.uint64) for a in (0, 1, 100, 101, 200)]
+    assert jaccard_join.connect(sets, 80).tolist() == [0, 0, 2, 2, 4]
+    assert jaccard_join.connect(sets, 80, found=[7, 8, 7, 8, 9]).tolist() == [0, 0, 0, 0, 4]
+    assert jaccard_join.connect(sets, 80, [False, False, True, False, False]).tolist() == [0, 1, 2, 2, 4]
+
+
+def test_notices_that_share_a_sentence(spark, monkeypatch):
+    """A group whose documents link with none stays in blocks of bounded size."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 40)
+    sizes, searched = [], jaccard_join._searched
+    largest = lambda rows: rows.groupBy("block").agg(F.count_distinct("doc_id", "mark").alias("n")).agg(F.max("n")).first()[0]
+    monkeypatch.setattr(jaccard_join, "_searched", lambda rows, *a: sizes.append(largest(rows)) or searched(rows, *a))
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [(i, f"n{i} o{i} p{i % 50} q{i % 7} r{i} {shared} t{i % 11} u{i % 13} v{i % 17} w{i} x{i}") for i in range(600)]
+    got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked(rows)
+    assert 10 < max(sizes) <= 3 * 40 + 2 * jaccard_join.PIVOTS
 
 
 def test_t_occurrence_counts_all():

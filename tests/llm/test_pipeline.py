@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.llm import langid, mixing
+from folioforge.llm import langid, mixing, shared
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 ENGLISH = "the quick brown fox and the lazy dog went over that hill with some water for them".split()
@@ -45,6 +45,7 @@ def test_language_stage_judges_each_row(spark, monkeypatch):
 
 
 def test_line_stage_follows_text(spark):
+    """A changed word in a line is near; a line of few words must be equal."""
     long = prose(1, ENGLISH) + " " + prose(2, GERMAN)
     data = [(1, long + "\nshort", "en", "web", 0), (2, long.replace("hill", "river") + "\nshort\nown", "en", None, 0), (3, None, "en", "web", None)]
     got = as_rows(corpus_pipeline.line_dedup_stage(spark, frame(spark, data), ""))
@@ -72,7 +73,7 @@ def test_run_is_the_stages_in_order(spark, tmp_path):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "source_mix", "packing"]
     docs = frame(spark, rows())
     for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, str(tmp_path)).localCheckpoint()
+        docs = shared.written(stage(spark, docs, str(tmp_path)), "stage")
     got = corpus_pipeline.run(spark, str(tmp_path))
     # Sequences are numbered by partition; the pieces are the same.
     pieces = [c for c in docs.columns if "sequence" not in c][:5]
