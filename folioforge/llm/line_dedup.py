@@ -35,10 +35,8 @@ EVERYWHERE = 24
 HEAD = 12
 #: Pairs of lines that a task verifies.
 PAIRS = 20_000
-#: Letters counted in the signature, five bits each in a long; and those that are counted for pairs beside them (twelve at most).
-LETTERS, OTHERS = "entairsh", ("oudlbcfgjkmp", "qvwxyz ,.é", "0123456789")
-#: Last hex digits of the word hashes that are counted.
-DIGITS = "0123456789AB"
+#: Letters counted in the signature, five bits each in a long (twelve at most).
+LETTERS = "entairsh"
 
 
 def character_code(line: Column) -> Column:
@@ -158,21 +156,17 @@ def bound(values: dict[str, Column], use) -> Column:
 
 
 def signature(line: Column, letters: str = LETTERS) -> Column:
-    """A long with the counts of up to twelve letters, modulo 32."""
+    """A long with the counts of up to twelve letters, modulo 32, in Gray code: one more or less changes one bit."""
     out = F.lit(0).cast("long")
     for i, c in enumerate(letters):
-        count = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft((count % 32).cast("long"), 5 * i))
+        n = (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))) % 32
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseXOR(F.shiftright(n, 1)).cast("long"), 5 * i))
     return out
 
 
-def apart(a: Column, b: Column, letters: str = LETTERS) -> Column:
-    """At most twice the edit distance of lines with these signatures."""
-    out = F.lit(0)
-    for i in range(len(letters)):
-        d = F.abs(F.shiftright(a, 5 * i).bitwiseAND(F.lit(31)) - F.shiftright(b, 5 * i).bitwiseAND(F.lit(31)))
-        out = out + F.least(d, 32 - d)
-    return out
+def flips(a: Column, b: Column) -> Column:
+    """At most twice the edit distance of what has these signatures: bits that differ."""
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def trimmed(a: Column, b: Column) -> Column:
@@ -243,9 +237,16 @@ def word_letters(code: Column) -> Column:
     return F.decode(F.unhex(F.regexp_replace(F.hex(code), ".{4}(.{4})", "$1")), "UTF-16BE")
 
 
-def word_signature(code: Column) -> Column:
-    """A long with the counts, modulo 32, of words by the last hex digit of their hash, for twelve of the sixteen."""
-    return signature(F.regexp_replace(F.hex(code), f".{{{2 * WORD - 1}}}(.)", "$1"), DIGITS)
+def parities(numbers: Column) -> Column:
+    """A long whose bit i tells whether an odd number of the numbers end in the six bits i: an edit flips two at most."""
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), (x % 64).cast("int"))))
+
+
+def word_numbers(code: Column, first: int) -> Column:
+    """A byte of each word's hash, as numbers."""
+    n = (F.octet_length(code) / WORD).cast("int")
+    byte = lambda i: F.conv(F.hex(F.substring(code, i * WORD + 1 + first, 1)), 16, 10).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), byte)).otherwise(F.array().cast("array<int>"))
 
 
 def _run(code: Column, first: Column, n: Column) -> Column:
@@ -324,19 +325,12 @@ def _named() -> list[Column]:
     return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), F.col("line")).alias("g")]
 
 
-@lru_cache
-def _counted(threshold: int) -> Column:
-    """Whether the letter counts of a and b allow the threshold. (Long expressions are built once.)"""
-    every = (LETTERS, *OTHERS)
-    counts = {f"{c}{i}": signature(F.col(c), letters) for c in "ab" for i, letters in enumerate(every)}
-    return bound(counts, lambda x: sum((apart(x[f"a{i}"], x[f"b{i}"], letters) for i, letters in enumerate(every)), F.lit(0))) <= 2 * threshold
-
-
 @lru_cache
 def _near(threshold: int, percent: int) -> Column:
+    """Whether a and b are near. The compiled distance only spares far pairs the rest. (Long expressions are built once.)"""
     a, b = F.col("a"), F.col("b")
     if not percent:
-        return within(a, b, threshold)
+        return F.when(F.call_function("levenshtein", a, b, F.lit(threshold)) < 0, False).otherwise(within(a, b, threshold))
     tau = allowance(F.least(F.octet_length(a), F.octet_length(b)) / WORD, percent)
     return F.when(F.call_function("levenshtein", F.col("la"), F.col("lb"), tau) < 0, False).otherwise(within_words(a, b, percent))
 
@@ -344,15 +338,22 @@ def _near(threshold: int, percent: int) -> Column:
 @lru_cache
 def _alike(threshold: int, one: str, two: str) -> Column:
     """Whether signatures allow the threshold of character edits."""
-    return apart(F.col(one), F.col(two)) <= 2 * threshold
+    return flips(F.col(one), F.col(two)) <= 2 * threshold
+
+
+def _more(percent: int) -> Column:
+    """Parities of lines that meet others in pairs."""
+    return parities(word_numbers(F.col("code"), WORD - 2) if percent else F.transform(F.split("line", ""), lambda c: F.ascii(c))).alias("s0")
 
 
 @lru_cache
-def _alike_words(percent: int, dot: str) -> Column:
-    """Whether lengths in bytes (na, nb) and signatures (sa, sb) allow percent of the words to differ."""
-    na, nb, sa, sb = [F.col(f"{'xy'[i]}.{c}" if dot else f"{c}{'ab'[i]}") for c in "ns" for i in range(2)]
-    tau = allowance(F.least(na, nb) / WORD, percent)
-    return (F.abs(na - nb) <= WORD * tau) & (apart(sa, sb, DIGITS) <= 2 * tau)
+def _alike_pairs(threshold: int, percent: int) -> Column:
+    """Whether lines x and y may be near by their lengths in bytes (n) and their signatures."""
+    odd = flips(F.col("x.s0"), F.col("y.s0"))
+    if not percent:
+        return (odd <= 2 * threshold) & _alike(threshold, "x.s", "y.s")
+    tau = allowance(F.least("x.n", "y.n") / WORD, percent)
+    return (F.abs(F.col("x.n") - F.col("y.n")) <= WORD * tau) & (odd <= 2 * tau) & (flips(F.col("x.s"), F.col("y.s")) <= 2 * tau)
 
 
 def _verified(pairs: DataFrame, fresh: DataFrame, threshold: int, percent: int) -> DataFrame:
@@ -364,17 +365,15 @@ def _verified(pairs: DataFrame, fresh: DataFrame, threshold: int, percent: int)
     names = written(pairs.select("h").union(pairs.select("h2")).distinct(), "line-names")
     texts = held = written(fresh.join(checked(names), "h", "left_semi"), "line-texts")
     if percent:  # counts refuse most pairs before their codes move
-        some = pairs.join(texts.select("h", F.col("s").alias("sa"), F.octet_length("code").alias("na")), "h")
-        some = some.join(texts.select(F.col("h").alias("h2"), F.col("s").alias("sb"), F.octet_length("code").alias("nb")), "h2")
-        some = written(some.where(_alike_words(percent, "")).select("h", "h2"), "line-pairs")
+        names_of = texts.select("h", "s", _more(percent), F.octet_length("code").alias("n"))
+        some = pairs.join(names_of.alias("x"), "h").join(names_of.withColumnRenamed("h", "h2").alias("y"), "h2")
+        some = written(some.where(_alike_pairs(threshold, percent)).select("h", "h2"), "line-pairs")
         dropped(pairs)
         pairs, n = some, some.count()
         texts = texts.withColumn("letters", word_letters(F.col("code")))
     one = texts.select("h", F.col("f").alias("fa"), *([F.col("code").alias("a"), F.col("letters").alias("la")] if percent else [F.col("line").alias("a")]))
     two = texts.select(F.col("h").alias("h2"), F.col("f").alias("fb"), *([F.col("code").alias("b"), F.col("letters").alias("lb")] if percent else [F.col("line").alias("b")]))
     both = pairs.join(one, "h").join(two, "h2")
-    if not percent:
-        both = both.where(_counted(threshold))
     # Few bytes, much work for each: spread by number, which isn't coalesced.
     tasks = max(docs_parallelism(fresh), -(-n // PAIRS))
     both = both.repartition(tasks)
@@ -398,10 +397,10 @@ def _blocks(rows: DataFrame, per: DataFrame) -> DataFrame:
 def _crowded(rows: DataFrame, fresh: DataFrame, late: DataFrame, threshold: int, percent: int) -> list[DataFrame]:
     """Late lines (h) among those of crowded segments (k, h), that late doesn't hold yet."""
     names = written(rows.select("h").distinct(), "crowd-names")
-    places = fresh.join(checked(names), "h", "left_semi").select(F.col("h").alias("_h"), "f", "s", F.octet_length("code" if percent else "line").alias("n"))
+    places = fresh.join(checked(names), "h", "left_semi").select(F.col("h").alias("_h"), "f", "s", _more(percent), F.octet_length("code" if percent else "line").alias("n"))
     crowd = written(rows.join(places, F.col("h") == F.col("_h")).drop("_h"), "crowd")
-    own = ["f", "h", "s", "n"]
-    near = _alike_words(percent, ".") if percent else _alike(threshold, "x.s", "y.s")
+    own = ["f", *(c for c in crowd.columns if c not in ("k", "f"))]
+    near = _alike_pairs(threshold, percent)
     # The earliest pivot first: of lines that are near each other it settles nearly all, with one pair each.
     pivots = crowd.groupBy("k", F.pmod(F.xxhash64("h", F.lit(2)), F.lit(PIVOTS)).alias("part")).agg(F.min(F.struct(*own)).alias("y"))
     pivots = written(pivots.select("k", "y.*"), "line-pivots")
@@ -454,7 +453,7 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", te
     line = F.col("line")
     fresh = _lines(docs, id_col, text_col, again)
     if percent:
-        fresh = fresh.select(F.xxhash64("line").alias("h"), word_code(line).alias("code"), _order(F.col("d")).alias("f")).withColumn("s", word_signature(F.col("code")))
+        fresh = fresh.select(F.xxhash64("line").alias("h"), word_code(line).alias("code"), _order(F.col("d")).alias("f")).withColumn("s", parities(word_numbers(F.col("code"), WORD - 1)))
     else:
         fresh = fresh.select(F.xxhash64("line").alias("h"), "line", signature(line).alias("s"), _order(F.col("d")).alias("f"))
     fresh = written(fresh, "fresh")
