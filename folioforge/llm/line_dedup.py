@@ -457,15 +457,17 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", te
     else:
         fresh = fresh.select(F.xxhash64("line").alias("h"), "line", signature(line).alias("s"), _order(F.col("d")).alias("f"))
     fresh = written(fresh, "fresh")
-    code = F.col("code") if percent else character_code(line)
+    code = F.col("code")
     if percent:
         some = fresh.where(allowance(F.octet_length("code") / WORD, percent) > 0)
         index = some.select("h", F.explode(class_index(code, percent)).alias("k"))
         probes = some.select(F.col("h").alias("h2"), F.explode(class_probes(code, percent)).alias("k2"))
         near = F.col("h") != F.col("h2")
     else:
-        index = fresh.select("h", "s", F.explode(index_keys(code, threshold)).alias("k"))
-        probes = fresh.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.explode(probe_keys(code, threshold)).alias("x")).select("h2", "s2", F.col("x.k").alias("k2"), "x.shorter")
+        # The code is made once for all keys of a line, in a projection below the one that explodes them.
+        some = fresh.select("h", "s", character_code(line).alias("code"))
+        index = some.select("h", "s", F.explode(index_keys(code, threshold)).alias("k"))
+        probes = some.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.explode(probe_keys(code, threshold)).alias("x")).select("h2", "s2", F.col("x.k").alias("k2"), "x.shorter")
         # Of lines of one length, either may be the indexed one.
         near = (F.col("h") != F.col("h2")) & ((F.col("shorter") > 0) | (F.col("h") < F.col("h2"))) & _alike(threshold, "s", "s2")
     crowded = written(index.groupBy("k").agg(F.count("*").alias("c")).where(F.col("c") > MANY).select("k"), "crowded")
@@ -477,7 +479,7 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", te
     met = written(index.join(probes, (F.col("k") == F.col("k2")) & near).select("h", "h2", F.when(F.col("h").isNull(), F.col("k")).alias("k")), "line-met")
     late = [_verified(met.where("h is not null").select("h", "h2"), fresh, threshold, percent)]
     if some_crowded:
-        rows = fresh.select("h", F.explode(class_index(code, percent) if percent else index_keys(code, threshold)).alias("k"))
+        rows = some.select("h", F.explode(class_index(code, percent) if percent else index_keys(code, threshold)).alias("k"))
         rows = rows.join(checked(crowded), "k", "left_semi").unionByName(met.where("h is null").select(F.col("h2").alias("h"), "k"))
         rows = written(rows.distinct(), "crowd-rows")
         late += _crowded(rows, fresh, late[0], threshold, percent)
