@@ -401,25 +401,13 @@ def _crowded(rows: DataFrame, fresh: DataFrame, late: DataFrame, threshold: int,
     crowd = written(rows.join(places, F.col("h") == F.col("_h")).drop("_h"), "crowd")
     own = ["f", *(c for c in crowd.columns if c not in ("k", "f"))]
     near = _alike_pairs(threshold, percent)
-    # The earliest pivot first: of lines that are near each other it settles nearly all, with one pair each.
     pivots = crowd.groupBy("k", F.pmod(F.xxhash64("h", F.lit(2)), F.lit(PIVOTS)).alias("part")).agg(F.min(F.struct(*own)).alias("y"))
     pivots = written(pivots.select("k", "y.*"), "line-pivots")
-    found = [late]
-
-    def waiting() -> DataFrame:
-        left = crowd
-        for x in found:
-            left = left.join(checked(x), "h", "left_anti")
-        return left
-
-    def met() -> DataFrame:
-        both = waiting().alias("x").join(checked(pivots).alias("y"), F.expr("x.k = y.k and y.f < x.f"))
-        return both.where(near).select(F.col("x.h").alias("h"), F.struct("y.f", "y.h").alias("e"))
-
-    found.append(_verified(met().groupBy("h").agg(F.min("e").alias("e")).select("h", F.col("e.h").alias("h2")), fresh, threshold, percent))
-    found.append(_verified(met().select("h", F.col("e.h").alias("h2")), fresh, threshold, percent))
-
-    left = written(waiting(), "crowd-left")
+    # Parts go by the line's hash, so a line's segments have much the same pivots.
+    left = crowd.join(checked(late), "h", "left_anti")
+    met = left.alias("x").join(checked(pivots).alias("y"), F.expr("x.k = y.k and y.f < x.f")).where(near)
+    found = [_verified(met.select(F.col("x.h").alias("h"), F.col("y.h").alias("h2")), fresh, threshold, percent)]
+    left = written(left.join(checked(found[0]), "h", "left_anti"), "crowd-left")
     if left.limit(1).count():
         # What has no near pivot: blocks of it against blocks of all its segment's lines, so no task holds a whole segment.
         per = written(crowd.groupBy("k").agg(F.count("*").alias("c")), "crowd-sizes")
@@ -430,7 +418,7 @@ def _crowded(rows: DataFrame, fresh: DataFrame, late: DataFrame, threshold: int,
         found.append(_verified(both.select(F.col("x.h").alias("h"), F.col("y.h").alias("h2")), fresh, threshold, percent))
         dropped(per)
     dropped(names, crowd, pivots, left)
-    return found[1:]
+    return found
 
 
 def gone(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", percent: int = 0) -> DataFrame:
