@@ -13,7 +13,7 @@ from folioforge.llm import jaccard_join, langid, line_dedup, mixing, packing
 from folioforge.llm.queries import tokenizer_path
 from folioforge.llm.shared import checked, held_out, written
 
-#: Percent of a line's characters that a near copy may differ in (two edits at least).
+#: Percent of a line's words that a near copy may differ in, rounded.
 LINE_PERCENT = 5
 
 
@@ -30,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that repeat an earlier one within a twentieth of its length; n_chars follows the text."""
+    """Documents without the lines that repeat an earlier one but for a twentieth of the words; n_chars follows the text."""
     out = line_dedup.without_lines(docs, percent=LINE_PERCENT)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
