@@ -35,6 +35,10 @@ OBJECT = re.compile(rb"(?<!\d)(\d+)\s+(\d+)\s+obj\b")
 ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
 
 
+def _name(t: bytes) -> Name:
+    return Name(re.sub(r"#([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), t[1:].decode("latin-1")))
+
+
 class Parser:
     def __init__(self, data: bytes, at: int = 0):
         self.data, self.at = data, at
@@ -71,7 +75,7 @@ class Parser:
             while (k := self.token()) != b">>":
                 if k is None:
                     raise ValueError("a PDF dictionary ends early")
-                out[k[1:].decode("latin-1")] = self.value()
+                out[_name(k)] = self.value()
             return out
         if t == b"[":
             out = []
@@ -86,7 +90,7 @@ class Parser:
             digits = re.sub(rb"\s", b"", t[1:-1])
             return bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode())
         if t[:1] == b"/":
-            return Name(re.sub(r"#([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), t[1:].decode("latin-1")))
+            return _name(t)
         if re.fullmatch(rb"[+-]?\d+", t):
             m = re.compile(rb"\s+\d+\s+R(?![^\s()<>\[\]{}/%])").match(self.data, self.at)
             if m and t.isdigit():
@@ -114,6 +118,12 @@ class Page:
     contents: list[bytes] = field(default_factory=list)
     objects: dict[str, bytes] = field(default_factory=dict)
     fonts: list[str] = field(default_factory=list)
+    #: Of a page that was read: its document, visible box, resources, content references, and fonts by name.
+    document: Document | None = None
+    box: tuple[float, float, float, float] | None = None
+    resources: dict = field(default_factory=dict)
+    streams: list = field(default_factory=list)
+    font_objects: dict = field(default_factory=dict)
 
 
 class Document:
@@ -198,7 +208,7 @@ class Document:
             node = self.resolved(ref)
             if not isinstance(node, dict):
                 continue
-            own = inherited | {k: node[k] for k in ("MediaBox", "Rotate", "Resources") if k in node}
+            own = inherited | {k: node[k] for k in ("MediaBox", "CropBox", "Rotate", "Resources") if k in node}
             kids = self.resolved(node.get("Kids"))
             if isinstance(kids, list):
                 todo += [(k, own) for k in reversed(kids)]
@@ -207,17 +217,22 @@ class Document:
         return out
 
     def _page(self, node: dict, own: dict) -> Page:
-        box = [float(self.resolved(x)) for x in self.resolved(own.get("MediaBox")) or (0, 0, 612, 792)]
+        box = self._box(own.get("MediaBox")) or (0.0, 0.0, 612.0, 792.0)
+        if seen := self._box(own.get("CropBox")):  # what of it lies on the medium
+            seen = (max(box[0], seen[0]), max(box[1], seen[1]), min(box[2], seen[2]), min(box[3], seen[3]))
+            box = seen if seen[0] < seen[2] and seen[1] < seen[3] else box
         rotation = (self.resolved(own.get("Rotate")) or 0) % 360
-        width, height = abs(box[2] - box[0]), abs(box[3] - box[1])
-        page = Page((0.0, 0.0, *((height, width) if rotation in (90, 270) else (width, height))), rotation)
+        width, height = box[2] - box[0], box[3] - box[1]
+        page = Page((0.0, 0.0, *((height, width) if rotation in (90, 270) else (width, height))), rotation, document=self, box=box)
         contents = self.resolved(node.get("Contents"))
-        for c in contents if isinstance(contents, list) else [contents]:
-            c = self.resolved(c)
-            if isinstance(c, Stream):
-                page.contents.append(self.decoded(c))
-        resources = self.resolved(own.get("Resources")) or {}
-        page.fonts = sorted(self.resolved(resources.get("Font")) or {})
+        for c in contents if isinstance(contents, list) else [node.get("Contents")]:
+            s = self.resolved(c)
+            if isinstance(s, Stream):
+                page.contents.append(self.decoded(s))
+                page.streams.append(c)
+        page.resources = resources = self.resolved(own.get("Resources")) or {}
+        page.font_objects = dict(self.resolved(resources.get("Font")) or {})
+        page.fonts = sorted(page.font_objects)
         for name, x in (self.resolved(resources.get("XObject")) or {}).items():
             x = self.resolved(x)
             if isinstance(x, Stream) and self.resolved(x.entries.get("Subtype")) == "Image":
@@ -225,18 +240,92 @@ class Document:
             elif isinstance(x, Stream):
                 page.objects[name] = self.decoded(x)
                 inner = self.resolved(self.resolved(x.entries.get("Resources")) or {}) or {}
-                page.fonts = sorted({*page.fonts, *(self.resolved(inner.get("Font")) or {})})
+                page.font_objects = (self.resolved(inner.get("Font")) or {}) | page.font_objects
+                page.fonts = sorted(page.font_objects)
         return page
 
+    def _box(self, x) -> tuple[float, float, float, float] | None:
+        """Left, bottom, right, top of a box, whichever corners name it."""
+        x = self.resolved(x)
+        if not isinstance(x, list) or len(x) != 4:
+            return None
+        a, b, c, d = (float(self.resolved(v)) for v in x)
+        return min(a, c), min(b, d), max(a, c), max(b, d)
+
 
 def read(data: bytes) -> list[Page]:
     return Document(data).pages()
 
 
+def spelt(x, number) -> bytes:
+    """A value in a file's syntax; number gives the number that a reference has there."""
+    if isinstance(x, dict):
+        return b"<< " + b"".join(spelt(Name(k), number) + b" " + spelt(v, number) + b" " for k, v in x.items()) + b">>"
+    if isinstance(x, list):
+        return b"[" + b" ".join(spelt(v, number) for v in x) + b"]"
+    if isinstance(x, Ref):
+        return b"%d 0 R" % number(x)
+    if isinstance(x, Name):
+        return b"/" + re.sub(rb"[^!-~]|[#()<>\[\]{}/%]", lambda m: b"#%02X" % m[0][0], x.encode("latin-1"))
+    if isinstance(x, bytes):
+        return b"<" + x.hex().encode() + b">"
+    if x is None or isinstance(x, bool):
+        return {None: b"null", True: b"true", False: b"false"}[x]
+    return (f"{x:.6f}" if isinstance(x, float) else str(x)).encode()
+
+
 class Writer:
     def __init__(self):
         self.bodies: list[bytes] = [b"", b""]  # catalogue and page tree come last
         self.kids: list[int] = []
+        self.numbers: dict[tuple[Document, int], int] = {}  # of objects copied from other documents
+        self.images: dict[bytes, int] = {}
+
+    def copied(self, document: Document, x) -> bytes:
+        """A value of another document, spelt for this file. All that it refers to comes along, once, but no other page."""
+        todo = []
+
+        def number(ref: Ref) -> int:
+            if (document, ref.number) not in self.numbers:
+                self.numbers[document, ref.number] = self._add(b"null")
+                todo.append(ref.number)
+            return self.numbers[document, ref.number]
+
+        out = spelt(x, number)
+        while todo:
+            old = todo.pop()
+            value = document.objects.get(old)
+            if isinstance(value, Stream):
+                body = spelt(value.entries | {"Length": len(value.raw)}, number) + b"\nstream\n" + value.raw + b"\nendstream"
+            elif isinstance(value, dict) and value.get("Type") in ("Page", "Pages", "Catalog"):
+                continue
+            else:
+                body = spelt(value, number)
+            self.bodies[self.numbers[document, old] - 1] = body
+        return out
+
+    def _fonts(self, fonts: tuple[str, ...], objects: dict[str, tuple[Document, object]]) -> bytes:
+        """The fonts' dictionary: objects (document, value) as they are, names without one as a standard font."""
+        each = [spelt(Name(f), None) + b" " + (self.copied(*objects[f]) if f in objects else b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>") for f in fonts]
+        return b" /Font << " + b" ".join(each) + b" >>" if each else b""
+
+    def _finish(self, width: float, height: float, resources: bytes, contents: list[bytes]) -> None:
+        self.kids.append(self._add(b"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 %.4f %.4f] /Resources <<%s >> /Contents [%s] >>" % (width, height, resources, b" ".join(contents))))
+
+    def copy(self, page: Page, text: bytes = b"", fonts: tuple[str, ...] = (), objects: dict[str, tuple[Document, object]] | None = None) -> None:
+        """A page that was read, with all that it draws with, upright and at the origin, and a content stream after it.
+
+        Of fonts, those that the page has under the same name stay its own.
+        """
+        x0, y0, x1, y1 = page.box
+        turn = {0: (1, 0, 0, 1, -x0, -y0), 90: (0, -1, 1, 0, -y0, x1), 180: (-1, 0, 0, -1, x1, y1), 270: (0, 1, -1, 0, y1, -x0)}[page.rotation]
+        before = "q {:.4f} {:.4f} {:.4f} {:.4f} {:.4f} {:.4f} cm ".format(*turn) + f"{x0:.4f} {y0:.4f} {x1 - x0:.4f} {y1 - y0:.4f} re W n\n"
+        own = {f: (page.document, x) for f, x in page.font_objects.items()}
+        rest = {k: v for k, v in page.resources.items() if k != "Font"}
+        resources = b"".join(b" " + spelt(Name(k), None) + b" " + self.copied(page.document, v) for k, v in rest.items())
+        resources += self._fonts((*own, *(f for f in fonts if f not in own)), (objects or {}) | own)
+        contents = [b"%d 0 R" % self._stream("", before.encode()), *(self.copied(page.document, s) for s in page.streams), b"%d 0 R" % self._stream("", b"\nQ\n")]
+        self._finish(*page.rect[2:], resources, contents + ([b"%d 0 R" % self._stream("", text)] if text else []))
 
     def _add(self, body: bytes) -> int:
         self.bodies.append(body)
@@ -257,21 +346,23 @@ class Writer:
         space = "DeviceGray" if pixels.ndim == 2 else "DeviceRGB"
         return self._stream(f"/Type /XObject /Subtype /Image /Width {pixels.shape[1]} /Height {pixels.shape[0]} /ColorSpace /{space} /BitsPerComponent 8", np.ascontiguousarray(pixels).tobytes())
 
-    def page(self, width: float, height: float, image: bytes | None = None, text: bytes = b"", fonts: tuple[str, ...] = ()) -> None:
-        """A page with an image in its whole rectangle, keeping the image's proportions, and a content stream after it."""
-        draw, names = b"", ""
+    def page(self, width: float, height: float, image: bytes | None = None, text: bytes = b"", fonts: tuple[str, ...] = (), objects: dict[str, tuple[Document, object]] | None = None, place: tuple[float, float, float, float] | None = None) -> None:
+        """A page with an image in its whole rectangle, keeping the image's proportions, and a content stream after it.
+
+        With place (x, y, width, height) the image lies there and the page shows what falls on it. An image that
+        several pages show is stored once.
+        """
+        draw, names = b"", b""
         if image is not None:
-            own = self._image(image)
+            if image not in self.images:
+                self.images[image] = self._image(image)
             w, h = jpeg.dimensions(image) if image[:2] == b"\xff\xd8" else png.size(image)
             scale = min(width / w, height / h)
-            x, y = (width - w * scale) / 2, (height - h * scale) / 2
-            draw, names = f"q {w * scale:.4f} 0 0 {h * scale:.4f} {x:.4f} {y:.4f} cm /Im0 Do Q\n".encode(), f" /XObject << /Im0 {own} 0 R >>"
-        if fonts:
-            each = " ".join(f"/{f} << /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>" for f in fonts)
-            names += f" /Font << {each} >>"
-        streams = [self._stream("", s) for s in (draw, text) if s]
-        contents = " ".join(f"{s} 0 R" for s in streams)
-        self.kids.append(self._add(f"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 {width:.4f} {height:.4f}] /Resources <<{names} >> /Contents [{contents}] >>".encode()))
+            x, y, w, h = place or ((width - w * scale) / 2, (height - h * scale) / 2, w * scale, h * scale)
+            clip = f"0 0 {width:.4f} {height:.4f} re W n " if place else ""
+            draw, names = f"q {clip}{w:.4f} 0 0 {h:.4f} {x:.4f} {y:.4f} cm /Im0 Do Q\n".encode(), b" /XObject << /Im0 %d 0 R >>" % self.images[image]
+        names += self._fonts(fonts, objects or {})
+        self._finish(width, height, names, [b"%d 0 R" % self._stream("", s) for s in (draw, text) if s])
 
     def data(self) -> bytes:
         if not self.kids:

@@ -6,7 +6,7 @@ import logging
 import os
 import subprocess
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 import numpy as np
@@ -26,7 +26,11 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class Output:
-    """A page on its way: its rectangle's size, its picture (None: nothing to draw), its text and fonts."""
+    """A page on its way: its rectangle's size, its picture (None: nothing to draw), its text and fonts.
+
+    source is the page that is taken over whole, before the text; place is where the picture lies if it is larger
+    than the page; objects are the fonts' documents and values, by name.
+    """
 
     width: float
     height: float
@@ -34,6 +38,9 @@ class Output:
     text: bytes = b""
     fonts: list[str] = field(default_factory=list)
     ext: str = "png"
+    source: pdf.Page | None = None
+    place: tuple[float, float, float, float] | None = None
+    objects: dict = field(default_factory=dict)
 
 
 def write(path: str | Path, data: bytes) -> Path:
@@ -91,7 +98,11 @@ def selected(pages: list[pdf.Page], selection: Selection) -> list[pdf.Page]:
 
 
 def split(pages: list[pdf.Page], selection: Selection = Selection(), pictures: str | None = None, settings: Settings = DEFAULTS) -> list[Output]:
-    """A page per box. Halves of a page without an image are left out; pictures, if named, gets each box's image."""
+    """A page per box; pictures, if named, gets each box's image.
+
+    Pages of one box are taken over whole. Halves of a page without an image are left out. A half of an image that
+    nothing here can cut shows its part of the whole image; as a picture of its own it is an error.
+    """
     out = []
     number = -1
     for page in selected(pages, selection):
@@ -102,7 +113,7 @@ def split(pages: list[pdf.Page], selection: Selection = Selection(), pictures: s
             whole = all(abs(a - b) < settings.edge_slack for a, b in zip(box, page.rect))
             if whole:
                 image = page.images[0] if page.images and page.images[0].ext in ("png", "jpeg") else None
-                out.append(Output(width, height, image and image.data, b"\n".join(page.contents) if image is None else b"", list(page.fonts), image.ext if image else "png"))
+                out.append(Output(width, height, image and image.data, b"", list(page.fonts), image.ext if image else "png", page))
                 if image is None and pictures:
                     log.warning("box %d has no picture to save", number)
                     continue
@@ -110,8 +121,15 @@ def split(pages: list[pdf.Page], selection: Selection = Selection(), pictures: s
                 log.warning("box %d of a spread without an image is left out", number)
                 continue
             else:
-                data, ext = crop(page.images[0], page, box, settings)
-                out.append(Output(width, height, data, b"", [], ext))
+                image, place = page.images[0], None
+                try:
+                    data, ext = crop(image, page, box, settings)
+                except backends.Unavailable:
+                    if pictures or image.ext != "jpeg":
+                        raise
+                    x0, y0, x1, y1 = page.rect
+                    data, ext, place = image.data, image.ext, (x0 - box[0], box[3] - y1, x1 - x0, y1 - y0)
+                out.append(Output(width, height, data, b"", [], ext, place=place))
             if pictures:
                 write(Path(pictures, f"page_{number:04d}.{out[-1].ext}"), out[-1].image)
     return out
@@ -120,7 +138,10 @@ def split(pages: list[pdf.Page], selection: Selection = Selection(), pictures: s
 def assembled(pages: list[Output]) -> bytes:
     w = pdf.Writer()
     for p in pages:
-        w.page(p.width, p.height, p.image, p.text, tuple(p.fonts))
+        if p.source is not None:
+            w.copy(p.source, p.text, tuple(p.fonts), p.objects)
+        else:
+            w.page(p.width, p.height, p.image, p.text, tuple(p.fonts), p.objects, p.place)
     return w.data()
 
 
@@ -129,6 +150,8 @@ def prepared(pages: list[Output], ratio: float = DEFAULTS.upscale, deskew: bool
     out = []
     for p in pages:
         if p.image is None or p.image[:8] != png.SIGNATURE:  # nothing here decodes others
+            if p.image is not None:
+                log.warning("a %s picture is neither upscaled nor levelled: no decoder", p.ext)
             out.append(p)
             continue
         pixels = raster.normalised(png.decode(p.image))
@@ -163,8 +186,9 @@ def with_text(pages: list[Output], recognised: list[pdf.Page]) -> list[Output]:
     out = []
     for p, r in zip(pages, recognised):
         text = layer_text(r)
-        fonts = p.fonts + [f for f in r.fonts if text and f not in p.fonts]
-        out.append(Output(p.width, p.height, p.image, b"\n".join(filter(None, [p.text, text])), fonts, p.ext))
+        new = [f for f in r.fonts if text and f not in p.fonts]
+        objects = {f: (r.document, r.font_objects[f]) for f in new if f in r.font_objects}
+        out.append(replace(p, text=b"\n".join(filter(None, [p.text, text])), fonts=p.fonts + new, objects=p.objects | objects))
     return out + pages[len(recognised) :]
 
 

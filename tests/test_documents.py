@@ -135,6 +135,75 @@ def test_text_transfer():
     assert out[0].text == b"own\nBT A ET\nBT B ET" and out[0].fonts == ["F"] and out[1] is pages[1]
 
 
+TO_UNICODE = "1 beginbfchar\n<0001> <041F>\nendbfchar".encode()
+
+
+def made_by_hand(objects):
+    """A file of these object bodies, the first of which is the catalogue."""
+    return b"%PDF-1.4\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (i, o) for i, o in enumerate(objects, 1)) + b"trailer << /Root 1 0 R >>\n"
+
+
+def stream(entries, data):
+    return b"<< %s /Length %d >>\nstream\n%s\nendstream" % (entries, len(data), data)
+
+
+def recognised():
+    """A page whose text is drawn by a form with a font of its own, in Cyrillic letters."""
+    return made_by_hand([
+        b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [3 0 R] /Count 1 >>",
+        b"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 100 50] /Resources << /XObject << /OCR-1 5 0 R >> >> /Contents 4 0 R >>",
+        stream(b"", b"q /OCR-1 Do Q"), stream(b"/Type /XObject /Subtype /Form /Resources << /Font << /f-0-0 6 0 R >> >>", b"BT /f-0-0 9 Tf <0001> Tj ET"),
+        b"<< /Type /Font /Subtype /Type0 /BaseFont /Own /Encoding /Identity-H /ToUnicode 7 0 R /DescendantFonts [8 0 R] >>",
+        stream(b"", TO_UNICODE), b"<< /Type /Font /Subtype /CIDFontType2 /BaseFont /Own /CIDSystemInfo << /Registry (Adobe) /Ordering (Identity) /Supplement 0 >> >>",
+    ])
+
+
+def test_fonts_come_with_the_text():
+    parts = documents.split(pdf.read(document([(100, 50)])[:]), settings=documents.Settings(spread_ratio=9))
+    page = pdf.read(documents.assembled(documents.with_text(parts, pdf.read(recognised()))))[0]
+    own = page.document.resolved
+    font = own(page.font_objects["f-0-0"])
+    assert font["Subtype"] == "Type0" and page.document.decoded(own(font["ToUnicode"])) == TO_UNICODE
+    assert own(own(font["DescendantFonts"])[0])["CIDSystemInfo"]["Registry"] == b"Adobe"
+    assert page.contents[-1] == b"BT /f-0-0 9 Tf <0001> Tj ET" and b"BT (text) Tj ET" in page.contents and len(page.images) == 1
+
+
+@pytest.mark.parametrize("turn, size, matrix", [(0, (100, 200), "1 0 0 1 -10 -20"), (90, (200, 100), "0 -1 1 0 -20 110"), (180, (100, 200), "-1 0 0 -1 110 220"), (270, (200, 100), "0 1 -1 0 220 -10")])
+def test_whole_pages_are_taken_over(turn, size, matrix):
+    image = b"/Type /XObject /Subtype /Image /Width 1 /Height 2 /ColorSpace /DeviceGray /BitsPerComponent 8"
+    data = made_by_hand([
+        b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [3 0 R] /Count 1 /Resources 7 0 R >>",
+        b"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 300 400] /CropBox [110 220 10 20] /Rotate %d /Contents [4 0 R] >>" % turn,
+        stream(b"", b"/A Do /B Do BT /F#20x 9 Tf (own) Tj ET"), stream(image, b"ab"), stream(image, b"cd"),
+        b"<< /XObject << /A 5 0 R /B 6 0 R >> /Font << /F#20x << /Type /Font /Subtype /Type1 /BaseFont /Times-Roman /Parent 3 0 R >> >> /ExtGState << /G << /CA 0.5 /SA true /X null >> >> >>",
+    ])
+    parts = documents.split(pdf.read(data), settings=documents.Settings(spread_ratio=9))
+    page = pdf.read(documents.assembled(parts))[0]
+    assert page.rect == (0, 0, *size) and page.rotation == 0
+    assert [float(x) for x in page.contents[0].split()[1:7]] == [float(x) for x in matrix.split()]
+    assert page.contents[1] == b"/A Do /B Do BT /F#20x 9 Tf (own) Tj ET"
+    assert [png.decode(i.data).ravel().tolist() for i in page.images] == [[97, 98], [99, 100]]
+    assert page.document.resolved(page.font_objects["F x"])["BaseFont"] == "Times-Roman"
+    assert page.document.resolved(page.resources["ExtGState"])["G"] == {"CA": 0.5, "SA": True, "X": None}
+    assert len(pdf.read(documents.assembled(parts + parts))) == 2
+
+
+def test_halves_of_a_jpeg(tmp_path):
+    if backends.available(documents.DEFAULTS.lossless_cropper):
+        pytest.skip("a lossless cropper is installed")
+    w = pdf.Writer()
+    w.page(1190, 842, jpeg_header(240, 170))
+    pages = pdf.read(w.data())
+    out = documents.split(pages)
+    assert [(p.width, p.place) for p in out] == [(595, (0, 0, 1190, 842)), (595, (-595, 0, 1190, 842))]
+    data = documents.assembled(documents.prepared(out))
+    own = pdf.read(data)
+    assert [(len(p.images), p.rect[2]) for p in own] == [(1, 595), (1, 595)] and data.count(b"DCTDecode") == 1
+    assert own[1].contents[0].split()[:8] == b"q 0 0 595.0000 842.0000 re W n".split()
+    with pytest.raises(backends.Unavailable):
+        documents.split(pages, pictures=str(tmp_path))
+
+
 @pytest.fixture
 def tree(tmp_path):
     for name in ("root.pdf", "sub1/a.pdf", "sub2/deep/a.pdf", "sub1/.hidden/_b.pdf", "other.PDF"):
