@@ -113,6 +113,22 @@ SQL = {
         kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by i) as t from words anti join gone using (doc_id, i) group by doc_id)
         select d.doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
         from d left join kept using (doc_id)""",
+    "op7_jaccard": r"""
+        with recursive d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+            from documents),
+        sh as (
+            select distinct doc_id, array_to_string(w[p:p + 4], ' ') as k
+            from d, unnest(generate_series(1, greatest(len(w) - 4, 1))) as t(p) where len(w) > 0),
+        n as (select doc_id, count(*) as n from sh group by doc_id),
+        pairs as (select a.doc_id as x, b.doc_id as y, count(*) as c from sh a join sh b using (k) where a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+        links as (select x, y from pairs join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 80 * (a.n + b.n - c)),
+        edges as (select x, y from links union all select y, x from links),
+        reach(doc_id, r) as (
+            select doc_id, doc_id from documents
+            union select reach.doc_id, edges.y from reach join edges on edges.x = reach.r)
+        select doc_id, coalesce(n.n, 0) as n_shingles, component_id
+        from (select doc_id, min(r) as component_id from reach group by doc_id) left join n using (doc_id)""",
     "op4_lines": rf"""
         with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
         lines as (select distinct doc_id, i - 1 as p, ls[i] as line from docs, unnest(generate_series(1, len(ls))) as u(i)),

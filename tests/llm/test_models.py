@@ -102,16 +102,60 @@ def test_language_of_odd_rows(spark):
     assert {r.lang_pred for r in none.collect()} == {"und"} and langid.identify(docs.limit(0)).count() == 0
 
 
-def test_kneser_ney_sums_to_one():
-    model = langid.Model({"x": langid.Counter({"abab": 3, "ba": 2, "abc": 1}), "y": langid.Counter({"zz": 1})})
-    letters = "abcz\x03"
-    for history in ("", "a", "ab", "zz"):
-        # All continuations of a history share its probability.
-        pieces = [history + c for c in letters[:-1]]
-        p = model.piece_scores(pieces + [history])
-        assert np.isfinite(p).all() and (p < 0).all()
-    here = model.piece_scores(["abab", "zz"])
-    assert here[0, 0] > here[0, 1] and here[1, 1] > here[1, 0]
+def plain_kneser_ney(words, floor, order=langid.ORDER):
+    """Probability of a character after a history (which begins with the first mark), by dictionaries."""
+    shares, lowers = {}, {}
+    for k in range(1, order + 1):
+        count, longer = {}, set()
+        for w, n in words.items():
+            s = f"\x02{w}\x03"
+            for end in range(max(k, 2), len(s) + 1):
+                gram = s[end - k : end]
+                count.setdefault(gram, 0)
+                if k == order or end == k:
+                    count[gram] += n
+                elif end > k:
+                    longer.add(s[end - k - 1 : end])
+        for gram in longer:
+            count[gram[1:]] += 1
+        ones, twos = (sum(c == x for c in count.values()) for x in (1, 2))
+        discount = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
+        for context in {g[:-1] for g in count}:
+            own = {g: c for g, c in count.items() if g[:-1] == context}
+            shares |= {g: (c - discount) / sum(own.values()) for g, c in own.items()}
+            lowers[context] = discount * len(own) / sum(own.values())
+
+    def p(history, c):
+        out, s = floor, history + c
+        for k in range(1, min(order, len(s)) + 1):
+            out = shares.get(s[-k:], 0) + lowers.get(s[-k:-1], 1) * out
+        return out
+
+    return p
+
+
+def test_kneser_ney_equals_a_plain_one_that_sums_to_one():
+    counts = {"x": langid.Counter({"abab": 3, "ba": 2, "abc": 1, "cabbac": 5}), "y": langid.Counter({"zz": 1, "zy": 4})}
+    model = langid.Model(counts)
+    pieces = ["", "a", "abab", "abba", "cabbac", "cc", "zz", "zyzy", "q", "abq"]
+    got = model.piece_scores(pieces)
+    for i, lang in enumerate(model.languages):
+        p = plain_kneser_ney(counts[lang], model.floor)
+        for j, piece in enumerate(pieces):
+            s = f"\x02{piece}\x03"
+            assert got[j, i] == pytest.approx(sum(math.log(p(s[:n], s[n])) for n in range(1, len(s))), rel=1e-4)
+    p = plain_kneser_ney(counts["x"], model.floor)
+    for history in ("\x02", "\x02a", "\x02ab", "\x02cabba", "\x02cc", "\x02zz"):
+        assert sum(p(history, c) for c in "abc\x03") == pytest.approx(1)
+
+
+def test_a_language_that_was_not_learned_is_rejected(spark):
+    text = ["the cat sat on the mat and ate", "le chat est sur la table et mange", "der Hund liegt auf dem Bett und frisst"]
+    rows = [(i, text[i % 3] + " " + str(i), ("en", "fr", "de")[i % 3]) for i in range(90)]
+    other = ["кошка сидит на столе и ест рыбу " * 20, "zxqv kjwq vvxz qqkj xzvw " * 20]
+    docs = spark.createDataFrame(rows + [(1000 + i, t, None) for i, t in enumerate(other)] + [(2000, "the cat ate on the mat " * 20, None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.rejected for r in langid.identify(docs).collect()}
+    assert got[1000] and got[1001] and not got[2000]
 
 
 @tables
