@@ -56,33 +56,45 @@ def word_code(line: Column) -> Column:
     return F.unhex(F.array_join(F.transform(words(line), lambda w: F.lpad(F.hex(F.xxhash64(w).bitwiseAND(F.lit(0xFFFF7FFF))), 2 * WORD, "0")), ""))
 
 
-def segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
-    """(first place from 1, length) of each segment of a line of that length: short ones first, one longer after."""
+def segment(length: Column, i: Column, threshold: int) -> tuple[Column, Column]:
+    """(first place from 1, length) of segment i of a line of that length: short ones first, one longer after."""
     parts = threshold + 1
     base = F.floor(length / parts).cast("int")
     short = parts - (length - base * parts)
-    return [((F.lit(i) * base + F.greatest(F.lit(0), F.lit(i) - short) + 1).cast("int"), (base + (F.lit(i) >= short).cast("int")).cast("int")) for i in range(parts)]
+    return i * base + F.greatest(F.lit(0), i - short) + 1, base + (i >= short).cast("int")
 
 
-def _key(code: Column, length: Column, i: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(i), F.substring(code, start, size))
+def moves(threshold: int) -> list[tuple[int, int, int]]:
+    """(shorter, i, shift): where segment i of a line shorter by that much may lie in the longer one."""
+    out = []
+    for shorter in range(threshold + 1):
+        for i in range(threshold + 1):
+            # i edits at most lie before the segment, threshold - i behind it.
+            low, high = max(-i, shorter - (threshold - i)), min(i, shorter + (threshold - i))
+            out += [(shorter, i, shift) for shift in range(low, high + 1)]
+    return out
+
 
+def _cuts(lines: DataFrame, of: list[tuple[int, int, int]], threshold: int) -> DataFrame:
+    """lines (code, ...) with k, a key of the substring, and shorter, for each of the moves that the line has room for.
 
-def index_keys(code: Column, threshold: int) -> Column:
-    n = F.octet_length(code)
-    return F.array(*[_key(code, n, i, start, size) for i, (start, size) in enumerate(segments(n, threshold))])
+    The moves are exploded, not their keys: an array of all keys is one expression too large for the JVM to compile.
+    """
+    move = F.array(*[F.struct(*[F.lit(v).alias(name) for v, name in zip(m, ("shorter", "i", "shift"))]) for m in of])
+    n, i = F.octet_length("code") - F.col("move.shorter"), F.col("move.i")
+    start, size = segment(n, i, threshold)
+    key = F.xxhash64(n, i, F.substring(F.col("code"), start + F.col("move.shift"), size))
+    return lines.select("*", F.explode(move).alias("move")).where(n >= 0).select(*[c for c in lines.columns if c != "code"], key.alias("k"), F.col("move.shorter").alias("shorter"))
 
 
-def probe_keys(code: Column, threshold: int) -> Column:
+def index_rows(lines: DataFrame, threshold: int) -> DataFrame:
+    """Keys of the lines' segments."""
+    return _cuts(lines, [(0, i, 0) for i in range(threshold + 1)], threshold).drop("shorter")
+
+
+def probe_rows(lines: DataFrame, threshold: int) -> DataFrame:
     """Keys of the substrings that may equal a segment of a line shorter by 0..threshold, with that difference."""
-    n = F.octet_length(code)
-    out = []
-    for shorter in range(threshold + 1):
-        for i, (start, size) in enumerate(segments(n - shorter, threshold)):
-            # i edits at most lie before the segment, threshold - i behind it.
-            low, high = max(-i, shorter - (threshold - i)), min(i, shorter + (threshold - i))
-            out += [F.struct(F.when(n >= shorter, _key(code, n - shorter, i, start + shift, size)).alias("k"), F.lit(shorter).alias("shorter")) for shift in range(low, high + 1)]
-    return F.array(*out)
+    return _cuts(lines, moves(threshold), threshold)
 
 
 def allowance(length: Column, percent: int) -> Column:
@@ -452,10 +464,9 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", te
         probes = some.select(F.col("h").alias("h2"), F.explode(class_probes(code, percent)).alias("k2"))
         near = F.col("h") != F.col("h2")
     else:
-        # The code is made once for all keys of a line, in a projection below the one that explodes them.
         some = fresh.select("h", "s", character_code(line).alias("code"))
-        index = some.select("h", "s", F.explode(index_keys(code, threshold)).alias("k"))
-        probes = some.select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.explode(probe_keys(code, threshold)).alias("x")).select("h2", "s2", F.col("x.k").alias("k2"), "x.shorter")
+        index = index_rows(some, threshold)
+        probes = probe_rows(some, threshold).select(F.col("h").alias("h2"), F.col("s").alias("s2"), F.col("k").alias("k2"), "shorter")
         # Of lines of one length, either may be the indexed one.
         near = (F.col("h") != F.col("h2")) & ((F.col("shorter") > 0) | (F.col("h") < F.col("h2"))) & _alike(threshold, "s", "s2")
     crowded = written(index.groupBy("k").agg(F.count("*").alias("c")).where(F.col("c") > MANY).select("k"), "crowded")
@@ -467,7 +478,7 @@ def gone(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", te
     met = written(index.join(probes, (F.col("k") == F.col("k2")) & near).select("h", "h2", F.when(F.col("h").isNull(), F.col("k")).alias("k")), "line-met")
     late = [_verified(met.where("h is not null").select("h", "h2"), fresh, threshold, percent)]
     if some_crowded:
-        rows = some.select("h", F.explode(class_index(code, percent) if percent else index_keys(code, threshold)).alias("k"))
+        rows = some.select("h", F.explode(class_index(code, percent)).alias("k")) if percent else index_rows(some.drop("s"), threshold)
         rows = rows.join(checked(crowded), "k", "left_semi").unionByName(met.where("h is null").select(F.col("h2").alias("h"), "k"))
         rows = written(rows.distinct(), "crowd-rows")
         late += _crowded(rows, fresh, late[0], threshold, percent)
