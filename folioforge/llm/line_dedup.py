@@ -171,7 +171,7 @@ def signature(line: Column, letters: str = LETTERS) -> Column:
     """A long with the counts of up to twelve letters, modulo 32, in Gray code: one more or less changes one bit."""
     out = F.lit(0).cast("long")
     for i, c in enumerate(letters):
-        n = (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))) % 32
+        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))) % 32  # letters are one byte
         out = out.bitwiseOR(F.shiftleft(n.bitwiseXOR(F.shiftright(n, 1)).cast("long"), 5 * i))
     return out
 
