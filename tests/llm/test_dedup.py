@@ -8,8 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.llm import exact_dedup, jaccard_join, line_dedup, rolling, substring_dedup
-from folioforge.llm.components import components
+from folioforge.llm import bitmap, components, exact_dedup, jaccard_join, line_dedup, rolling, substring_dedup
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 CLASH = "doc_id long, text string, _n int, places int, d int, t string, component int, _text string"
@@ -283,7 +282,9 @@ def test_t_occurrence_counts_all():
         assert jaccard_join.merge_skip(lists, least) == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [components.FEW, 10])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW", few)
     r = random.Random(6)
     edges = [(r.randrange(200), r.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 380)] + [(5, None)]
     up = {}
@@ -292,5 +293,13 @@ def test_components(spark):
             ra, rb = up.setdefault(a, a), up.setdefault(b, b)
             for k in [k for k, v in up.items() if v in (ra, rb)]:
                 up[k] = min(ra, rb)
-    got = {x.node: x.component for x in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {x.node: x.component for x in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == up
+
+
+def test_few_edges_take_no_rounds(spark, monkeypatch):
+    tables, written = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name: tables.append(name) or written(df, name))
+    chain = spark.range(64).selectExpr("id as u", "id + 1 as v")
+    assert {(x.node, x.component) for x in components.components(chain).collect()} == {(i, 0) for i in range(65)}
+    assert len(tables) == 2
