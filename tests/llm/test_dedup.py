@@ -303,3 +303,25 @@ def test_few_edges_take_no_rounds(spark, monkeypatch):
     chain = spark.range(64).selectExpr("id as u", "id + 1 as v")
     assert {(x.node, x.component) for x in components.components(chain).collect()} == {(i, 0) for i in range(65)}
     assert len(tables) == 2
+
+
+@pytest.mark.parametrize("bits", [bitmap.NATIVE, 8])
+def test_without_keys(spark, monkeypatch, bits):
+    monkeypatch.setattr(bitmap, "NATIVE", bits)
+    rows = spark.range(300).selectExpr("id as a", "id % 7 as b", "array(id) as wide")
+    for gone in (set(), set(range(0, 300, 3)), {299}):
+        side = rows.select("a", "b").where(rows["a"].isin(gone)) if gone else rows.select("a", "b").limit(0)
+        got = bitmap.without(rows, rows.select("a", "b"), side, ["a", "b"])
+        assert got.columns == rows.columns and sorted(r.a for r in got.collect()) == [i for i in range(300) if i not in gone]
+
+
+def test_hash_lists_and_texts_outside_groups_are_not_shuffled(spark, monkeypatch):
+    """Also with more copies and groups than a broadcast takes."""
+    monkeypatch.setattr(jaccard_join, "checked", lambda side, *a: side.hint("merge"))
+    plans, groups = [], jaccard_join._groups
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(jaccard_join, "_groups", lambda spark, least, *a: plans.append(plan(least)) or groups(spark, least, *a))
+    rows = [(i, " ".join(f"w{i % 40}x{k}" for k in range(20))) for i in range(200)]
+    got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(i, i % 40) for i in range(200)]
+    assert "hashpartitioning" not in plans[0]
