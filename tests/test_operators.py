@@ -150,3 +150,9 @@ def test_paths(spark):
     assert (r.target, r.pictures) == ("/out/a/b.v2.pdf", "/out/a/b.v2.page_pics")
     assert batch.tasks(files, "/out").first().pictures is None
     assert sorted(["a-1/c", "a/b"], key=lambda p: p.split("/")) == [x.p for x in spark.createDataFrame([("a-1/c",), ("a/b",)], "p string").orderBy(names.path_order(F.col("p"))).collect()]
+
+
+def test_picture_names_are_never_cut(spark):
+    boxes = spark.createDataFrame([(0,), (999,), (9999,), (10000,), (123456,)], "box long")
+    got = [r[0] for r in boxes.select(names.picture_name(F.col("box"), F.lit("jpg"))).collect()]
+    assert got == [f"page_{i:04d}.jpg" for i in (0, 999, 9999, 10000, 123456)]
