@@ -50,10 +50,10 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     """The n ranks that pack() was given, by table lookup."""
     size = LENGTHS[control].reshape(-1)[:n]
     start = np.cumsum(size, dtype=np.int64) - size
-    out = np.zeros(n, np.uint32)
-    for i in range(4):
-        there = size > i
-        if i and not there.any():
+    out = data[start].astype(np.uint32)
+    for i in range(1, 4):
+        there = np.flatnonzero(size > i)
+        if not len(there):
             break
         out[there] |= data[start[there] + i].astype(np.uint32) << np.uint32(8 * i)
     return out

@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from folioforge.llm import packing, token_files
+from folioforge.llm import packing, token_files, tokens
 from folioforge.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +28,19 @@ def test_short_way_equals_library(enc):
         assert enc.encode(text) == library(enc, text).tobytes()
 
 
+def test_frequent_words_outlive_rare_ones(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO", 40_000)
+    own, made = Encoder(PATH), []
+    make = own.words.make
+    own.words.make = lambda w: made.append(w) or make(w)
+    for i in range(3000):
+        text = f"often Once{i:x}z"
+        assert own.encode(text) == library(own, text).tobytes()
+    assert made.count("often") == 1
+    # Memory stays bounded: rare words are made again.
+    assert len(own.words) + len(own.words.old) < 500
+
+
 def test_coding_round_trip():
     r = np.random.default_rng(2)
     for n in (0, 1, 3, 4, 5, 1000):
