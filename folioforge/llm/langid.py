@@ -25,6 +25,8 @@ from folioforge.llm.words import WordRows
 ORDER, SAMPLE_DOCS, CALIBRATE = 4, 600, 0.2
 #: Quantile of the calibrating documents' cross-entropy, plus slack in nats, plus SHORT / sqrt(letters).
 QUANTILE, SLACK, SHORT = 0.999, 0.4, 3.0
+#: Bytes of text that are split into words at once.
+BATCH = 1 << 20
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 MULTIPLIER, MIX, WORD = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), (1 << 64) - 1
 
@@ -220,7 +222,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
     def run(it):
         model = shared.value
-        for batch in batches(it):
+        for batch in batches(it, BATCH):
             ids = batch.column(0).cast(pa.int64())
             if model is None:
                 cols = [["und"] * len(ids), [0.0] * len(ids), [None] * len(ids), [True] * len(ids)]

@@ -96,7 +96,9 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def empty(self) -> None:
+        """Called when another operator takes over: the tokenizer goes too, once its task has ended."""
         self.words.empty()
+        encoder.cache_clear()
 
     def encode(self, text: str) -> bytes:
         hold(self)

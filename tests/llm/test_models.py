@@ -5,10 +5,11 @@ import math
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.llm import langid, mixing, neighbours, quality
+from folioforge.llm import langid, mixing, neighbours, quality, shared, words
 from folioforge.llm.queries import QUERIES, SQL, table
 from folioforge.llm.shared import word_count
 
@@ -228,3 +229,33 @@ def test_query_equals_sql(spark, name):
     assert sorted(got.columns) == sorted(want.columns)
     pick = lambda names, rows: sorted((tuple(r[names.index(c)] for c in sorted(names)) for r in rows), key=repr)
     assert pick(got.columns, got.collect()) == pick(want.columns, want.fetchall())
+
+
+def test_rows_of_many_new_words_are_made_in_parts():
+    asked = []
+    rows = words.WordRows(lambda new: asked.append(len(new)) or np.array([[float(w)] for w in new]), 1)
+    flat, counts = rows.rows([" ".join(map(str, range(20_000))), "7 20001 7"])
+    assert max(asked) <= words.MADE and sum(asked) == 20_001
+    assert rows.table[flat, 0].tolist() == [*map(float, range(20_000)), 7.0, 20_001.0, 7.0] and counts.tolist() == [20_000, 3]
+
+
+def test_written_hands_python_small_batches(spark):
+    def size(it):
+        for b in it:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    before = spark.conf.get(shared.ARROW_SETTING)
+    got = shared.written(spark.range(0, 4000, 1, 1).select("id", F.repeat(F.lit("x"), 5000).alias("t")).mapInArrow(size, "n long, bytes long"), "sizes").collect()
+    assert sum(r.n for r in got) == 4000 and max(r.bytes for r in got) < 1.1 * shared.ARROW_BYTES
+    assert spark.conf.get(shared.ARROW_SETTING) == before
+
+
+def test_a_tokenizer_goes_when_another_operator_takes_over():
+    pytest.importorskip("public_tokenizers")
+    from folioforge.llm.queries import tokenizer_path
+    from folioforge.llm.tokens import encoder
+
+    enc = encoder(tokenizer_path())
+    ids = enc.encode("Some words, some more")
+    words.WordRows(lambda new: np.zeros((len(new), 1)), 1).rows(["other words"])
+    assert encoder.cache_info().currsize == 0 and enc.encode("Some words, some more") == ids
