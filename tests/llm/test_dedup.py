@@ -325,3 +325,28 @@ def test_hash_lists_and_texts_outside_groups_are_not_shuffled(spark, monkeypatch
     got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == [(i, i % 40) for i in range(200)]
     assert "hashpartitioning" not in plans[0]
+
+
+def test_large_groups_are_divided_and_searched_in_waves(spark, monkeypatch):
+    """Of chance groups nothing reaches the search, and pairs of blocks are not shuffled all at once."""
+    for name, value in (("BLOCK", 5), ("PIVOTS", 1), ("WAVE", 1)):
+        monkeypatch.setattr(jaccard_join, name, value, raising=False)
+    counts, searched = [], jaccard_join._searched
+    monkeypatch.setattr(jaccard_join, "_searched", lambda rows, *a: counts.append(rows.count()) or searched(rows, *a))
+    r = np.random.default_rng(1)
+    rows, sets = [], {}
+    for group in range(3):
+        core = r.integers(0, 1 << 62, 60)
+        for i in range(40):
+            shared, own = ((core[i % 30 : i % 30 + 2], 60), (core[:36], 12 + i % 3), (core, i % 20))[group]
+            s = np.unique(np.concatenate([shared, r.integers(0, 1 << 62, own)]).astype(np.uint64))
+            sets[100 * group + i] = s
+            rows.append((100 * group + i, 100 * group + i, len(s), group, bytearray(s.tobytes())))
+    table = jaccard_join.written(spark.createDataFrame(rows, "doc_id long, mark long, n long, component long, tokens binary"), "sets")
+    edges = [tuple(e) for part in jaccard_join._links(table, 80) for e in part.collect()]
+    where = {d: i for i, d in enumerate(sets)}
+    best = jaccard_join.connect(list(sets.values()), 80)
+    nodes, least = components.least_reached(*np.array(edges).T)
+    got = dict(zip(nodes.tolist(), least.tolist()))
+    assert [where[got.get(d, d)] for d in sets] == best.tolist()
+    assert counts[0] < 60 and len(counts) > 2
